@@ -104,10 +104,10 @@ def slices(column: pa.Array) -> Iterator[tuple[int, int]]:
         at = end
 
 
-def words_of(column: pa.Array) -> Words:
-    """Words [^\\x20\\x09-\\x0D]+ of every row."""
+def words_of(column: pa.Array, space: np.ndarray = _SPACE) -> Words:
+    """Words of every row: [^\\x20\\x09-\\x0D]+, or what the given bytes leave."""
     data, offsets = buffer_of(column)
-    inside = ~_SPACE[data]
+    inside = ~space[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[offsets] = True
     before = np.zeros(len(data), dtype=bool)

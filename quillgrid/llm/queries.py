@@ -7,11 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgrid.llm import language_id, quality_rules, secret_scan, url_filter
+from quillgrid.llm import language_id, packing, quality_rules, secret_scan, sentencepiece_codec, simhash, spotsigs, substring_dedup, url_filter
 
 URL_RULES = [url_filter.UrlRule.parse(a, r) for a, r in (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))]
 
 
+#: Folder of the public tokenizers; None: that of the installed package.
+TOKENIZERS: str | None = None
+
+
+def vocabulary(name: str) -> str:
+    """Path of a tokenizer file."""
+    if TOKENIZERS is not None:
+        return f"{TOKENIZERS}/{name}"
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -20,10 +33,26 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
 
 
+def op2_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.fingerprint_documents(documents(spark, sf_dir))
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_substrings(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_quality(documents(spark, sf_dir)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.digest_documents(documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
+
+
 def held_out() -> Column:
     """crc32 of the id as text, modulo 4, is 2; a row without an id is not held out."""
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
@@ -36,6 +65,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
 def _is(value: str) -> Callable[[Column], Column]:
     return lambda x: x == value
 
@@ -50,8 +83,13 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op2_spotsigs": op2_spotsigs,
+    "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op6_sentencepiece": op6_sentencepiece,
     "op8_language_id": op8_language_id,
+    "op9_simhash": op9_simhash,
     "op10_secret_scan": op10_secret_scan,
 }
 
