@@ -140,11 +140,31 @@ def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return narrow.mapInArrow(run, f"`{id_col}` {narrow.schema[id_col].dataType.simpleString()}, spans array<struct<kind:string,start:bigint,end:bigint>>")
 
 
-def redact(text: str, mark: str = "[SECRET]") -> str:
-    """The text with every span's union replaced by the mark."""
+def redact(text: str, mark: str = "[SECRET]", hexes: bool = True) -> str:
+    """The text with every union of spans replaced by the mark."""
     out, at = [], 0
-    for _, start, end in scan(text):
+    for _, start, end in scan(text, hexes=hexes):
         if start >= at:
             out += [text[at:start], mark]
         at = max(at, end)
     return "".join([*out, text[at:]])
+
+
+def redact_documents(df: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
+    """df with every found span of its texts replaced by the mark, all columns kept in their order.
+
+    Null and clean texts stay as they are.
+    """
+    _store.prepare(df.sparkSession)
+    narrow = df.withColumn(text_col, F.col(f"`{text_col}`").cast("string"))
+    at = narrow.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hexes = _hex_rows(batch.column(at))
+            texts = [t if t is None else redact(t, mark, h) for t, h in zip(batch.column(at).to_pylist(), hexes, strict=True)]
+            cols = batch.columns
+            cols[at] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(cols, batch.schema.names)
+
+    return narrow.mapInArrow(run, narrow.schema)

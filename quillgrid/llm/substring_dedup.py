@@ -110,7 +110,7 @@ def _cut(width: int):
                 kept = b" ".join(w for w, k in zip(words, keep.tolist(), strict=True) if k)
                 rows.append((len(words), int((~keep).sum()), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8"), bounds.tolist()))
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds))], ["id", "n_words", "n_removed", "sha", "kept", "bounds"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(3), batch.column(4), *(pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds))], ["id", "t1", "t2", "n_words", "n_removed", "sha", "kept", "bounds"])
 
     return run
 
@@ -121,7 +121,8 @@ def dedup_substrings(df: DataFrame, width: int = WINDOW, id_col: str = "doc_id",
     A word goes where a window of width words covers it whose words also start
     in a row of smaller id; windows are judged on the input. spans holds the
     maximal removed runs of words as (start, end). kept_text is the remaining
-    words joined by one space where words went, else null: the text stays as it is.
+    words joined by one space where words went, else null: the text stays as it is;
+    t1 and t2, hashes of the whole text by Spark's xxhash64, then tell repeated ids apart.
     Null and short texts lose nothing; rows of equal id don't affect each other; a
     row without an id comes after all others. Only id and text are read.
     """
@@ -144,9 +145,9 @@ def dedup_substrings(df: DataFrame, width: int = WINDOW, id_col: str = "doc_id",
     gone = rows.join(least, ["h1", "h2"]).where("id > least").groupBy("id", "t1", "t2").agg(F.collect_set("at").alias("gone"))
     gone = _store.keep(gone, "windows-gone")
     key = ["id", "t1", "t2"]
-    cut = found.select(*key, "text").join(gone.hint("shuffle_hash"), key).select("id", "text", "gone").mapInArrow(_cut(width), "id long, n_words long, n_removed long, sha string, kept string, bounds array<long>")
+    cut = found.select(*key, "text").join(gone.hint("shuffle_hash"), key).select("id", "text", "gone", "t1", "t2").mapInArrow(_cut(width), "id long, t1 long, t2 long, n_words long, n_removed long, sha string, kept string, bounds array<long>")
     pairs = F.transform(F.sequence(F.lit(0), F.size("bounds") - 2, F.lit(2)), lambda i: F.struct(F.get("bounds", i).alias("start"), F.get("bounds", i + 1).alias("end")))
-    cut = cut.select("id", "n_words", "n_removed", F.col("sha").alias("kept_sha256"), pairs.alias("spans"), *([F.col("kept").alias("kept_text")] if with_text else []))
+    cut = cut.select("id", "n_words", "n_removed", F.col("sha").alias("kept_sha256"), pairs.alias("spans"), *([F.col("kept").alias("kept_text"), "t1", "t2"] if with_text else []))
     whole = F.col("id") > F.col("first")
     whole = whole & (F.col("n_words") >= width)  # a later copy: every window starts in the first one
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
@@ -157,7 +158,7 @@ def dedup_substrings(df: DataFrame, width: int = WINDOW, id_col: str = "doc_id",
         F.when(whole, F.col("n_words")).otherwise(F.lit(0)).cast("long").alias("n_removed"),
         F.when(whole, F.sha2(F.lit(""), 256)).otherwise(F.col("sha")).alias("kept_sha256"),
         F.when(whole, F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end")))).otherwise(none).alias("spans"),
-        *([F.when(whole, F.lit("")).alias("kept_text")] if with_text else []),
+        *([F.when(whole, F.lit("")).alias("kept_text"), "t1", "t2"] if with_text else []),
     )
     out = cut.unionByName(rest)
     return out.withColumn("id", F.when(F.col("id") != _store.NO_ID, F.col("id"))).withColumnRenamed("id", id_col)
