@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgrid.llm import language_id, packing, quality_rules, secret_scan, sentencepiece_codec, simhash, spotsigs, substring_dedup, url_filter
+from quillgrid.llm import language_id, packing, quality_rules, secret_scan, sentencepiece_codec, simhash, spotsigs, substring_dedup, suffix_dedup, url_filter
 
 URL_RULES = [url_filter.UrlRule.parse(a, r) for a, r in (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))]
 
@@ -53,6 +53,10 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digest_documents(documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_bytes(documents(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def held_out() -> Column:
     """crc32 of the id as text, modulo 4, is 2; a row without an id is not held out."""
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
@@ -88,6 +92,7 @@ QUERIES = {
     "op4_substring_dedup": op4_substring_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_sentencepiece": op6_sentencepiece,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_language_id": op8_language_id,
     "op9_simhash": op9_simhash,
     "op10_secret_scan": op10_secret_scan,
