@@ -217,7 +217,7 @@ def q19_gutters(words):
 
 @query(
     "lineitem",
-    sql=""" , c as (select l_orderkey % 500 as t, l_linenumber % 3 as tier, l_orderkey // 500 as col, case when l_partkey % 3 = 0 then upper(l_returnflag) else '' end as text from lineitem where l_linenumber <= 3 qualify row_number() over (partition by l_orderkey, l_linenumber % 3 order by l_linenumber) = 1),
+    sql=""" , c as (select l_orderkey % 500 as t, l_linenumber % 3 as tier, l_orderkey // 500 as col, max(case when l_partkey % 3 = 0 then upper(l_returnflag) else '' end) as text from lineitem where l_linenumber <= 3 group by 1, 2, 3),
 f as (select *, max(tier) over (partition by t) as lastt, last_value(nullif(text, '') ignore nulls) over (partition by t, tier order by col rows between unbounded preceding and current row) as fill from c),
 g as (select t, col, list(case when tier = lastt then nullif(text, '') else fill end order by tier) as parts from f group by t, col),
 h as (select t, col, list_filter(parts, lambda p: p is not null) as parts from g)
@@ -225,7 +225,7 @@ select t, col, coalesce(nullif(array_to_string(list_filter(parts, lambda p, i: i
 )
 def q20_header_tiers(lineitem):
     cells = lineitem.where("l_linenumber <= 3").select((F.col("l_orderkey") % 500).alias("t"), (F.col("l_linenumber") % 3).alias("tier"), F.floor(F.col("l_orderkey") / 500).alias("col"), F.when(F.col("l_partkey") % 3 == 0, F.upper("l_returnflag")).otherwise("").alias("text"))
-    return sequence.header_names(cells, ["t"])
+    return sequence.header_names(cells.groupBy("t", "tier", "col").agg(F.max("text").alias("text")), ["t"])
 
 
 def expanded_sql(col: str, table: dict[str, str]) -> str:
