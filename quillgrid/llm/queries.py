@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgrid.llm import language_id, packing, quality_rules, secret_scan, sentencepiece_codec, simhash, spotsigs, substring_dedup, suffix_dedup, url_filter
+from quillgrid.llm import language_id, oracles, packing, quality_rules, secret_scan, sentencepiece_codec, simhash, spotsigs, substring_dedup, suffix_dedup, url_filter
 
 URL_RULES = [url_filter.UrlRule.parse(a, r) for a, r in (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))]
 
@@ -98,4 +98,10 @@ QUERIES = {
     "op10_secret_scan": op10_secret_scan,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: The others need BPE, learned weights, XXH64 or a lexer; tests hold them against brute force.
+ORACLE_SQL = {
+    "op1_url_filter": oracles.url_sql(URL_RULES),
+    "op4_substring_dedup": oracles.SUBSTRING_SQL,
+    "op5_quality_rules": oracles.quality_sql(),
+    "op7_suffix_dedup": oracles.SUFFIX_SQL,
+}
