@@ -84,7 +84,7 @@ def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
 
 
 def _quarters(x: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(x.view(np.uint16).reshape(-1, 4)).astype(np.int16)
+    return np.bitwise_count(np.ascontiguousarray(x).view(np.uint16).reshape(-1, 4)).astype(np.int16)
 
 
 def compare(left: np.ndarray, right: np.ndarray | None, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
