@@ -114,7 +114,7 @@ def trimmed_axis(words: DataFrame, by: list[str], lo: str, hi: str, title_at: st
     gaps = words.select(*by, title_at, F.max(hi).over(w).alias("g0"), F.col(lo).alias("g1")).where(F.col("g1") > F.col("g0"))
     if ratio is not None:
         rank = Window.partitionBy(*by).orderBy(F.desc(F.col("g1") - F.col("g0")), "g0")
-        gaps = gaps.withColumn("k", F.row_number().over(rank)).withColumn("next", F.lead(F.col("g1") - F.col("g0")).over(rank)).where("k = 1").where((F.col("g1") - F.col("g0")) >= ratio * F.col("next"))
+        gaps = gaps.withColumn("__k", F.row_number().over(rank)).withColumn("__next", F.lead(F.col("g1") - F.col("g0")).over(rank)).where("__k = 1").where((F.col("g1") - F.col("g0")) >= ratio * F.col("__next"))
     gaps = gaps.where((F.col("g1") - F.col("g0")) >= least)
     cut = gaps.groupBy(*by).agg(F.max(F.when(F.col("g1") <= F.col(title_at), F.col("g1"))).alias("low"), F.min(F.when(F.col("g0") >= F.col(title_at), F.col("g0"))).alias("high"))
     mid = (F.col(lo) + F.col(hi)) / 2
@@ -127,9 +127,9 @@ def average_precision(scored: DataFrame, truths: DataFrame, by: list[str], ident
     NaN where there is no truth, 0 where nothing is predicted. truths: by, n_truth.
     """
     w = Window.partitionBy(*by).orderBy(F.desc("conf"), ident)
-    run = scored.withColumns({"k": F.row_number().over(w), "tp": F.sum(F.col("hit").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))})
-    run = run.join(truths, by).withColumns({"recall": F.col("tp") / F.nullif(F.col("n_truth"), F.lit(0)), "precision": F.col("tp") / F.col("k")})
-    v = Window.partitionBy(*by).orderBy("k")
+    run = scored.withColumns({"__k": F.row_number().over(w), "tp": F.sum(F.col("hit").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))})
+    run = run.join(truths, by).withColumns({"recall": F.col("tp") / F.nullif(F.col("n_truth"), F.lit(0)), "precision": F.col("tp") / F.col("__k")})
+    v = Window.partitionBy(*by).orderBy("__k")
     run = run.withColumns({"envelope": F.max("precision").over(v.rowsBetween(0, Window.unboundedFollowing)), "step": F.col("recall") - F.lag("recall", 1, 0.0).over(v)})
     got = run.groupBy(*by).agg(F.count("*").alias("n_pred"), F.sum(F.col("step") * F.col("envelope")).alias("a"))
     return truths.join(got, by, "left").select(*by, "n_truth", F.coalesce("n_pred", F.lit(0)).alias("n_pred"), F.when(F.col("n_truth") == 0, float("nan")).otherwise(F.coalesce("a", F.lit(0.0))).alias("ap"))

@@ -58,15 +58,17 @@ def contained_words(words: DataFrame, blocks: DataFrame, key: str) -> DataFrame:
     return words.join(b, key).where(G.contains(Rect.of("b_"), Rect.of())).select(*words.columns, "block_id")
 
 
-def nearest_below(upper: DataFrame, lower: DataFrame, key: str, upper_id: str, least: float, most: Column | float, reach: Column | float) -> DataFrame:
-    """upper plus the lower row (l_ columns) that starts least..most under it, its centre within reach; the highest wins.
+def nearest_below(upper: DataFrame, lower: DataFrame, key: str, upper_id: str, least: float, most: Column | float, reach: Column | float, label: bool = False) -> DataFrame:
+    """upper plus the lower row (l_ columns) that starts over least, up to most under it, its centre within reach; the highest wins.
 
-    Between equals the left one, then the one of smaller ident.
+    Between equals the left one, then the one of smaller ident. For labels, the
+    drop is from top to top, and the reach is from the label's sides.
     """
     low = lower.select(F.col(key), *(F.col(c).alias(f"l_{c}") for c in lower.columns if c != key))
     r, s = Rect.of(), Rect.of("l_")
-    drop = s.y0 - r.y1
-    hit = upper.join(low, key).where((drop > least) & (drop <= most) & (F.abs(s.cx - r.cx) <= reach))
+    drop = s.y0 - (r.y0 if label else r.y1)
+    beside = s.cx.between(r.x0 - reach, r.x1 + reach) if label else F.abs(s.cx - r.cx) <= reach
+    hit = upper.join(low, key).where((drop > least) & (drop <= most) & beside)
     cols = [c for c in low.columns if c != key]
     best = hit.groupBy(key, upper_id).agg(F.min_by(F.struct(*cols), F.struct("l_y0", "l_x0", "l_id")).alias("best"))
     return upper.join(best, [key, upper_id], "left").select(*upper.columns, *(F.col(f"best.{c}").alias(c) for c in cols))
