@@ -1,7 +1,7 @@
 """Layout tables made from the star-schema tables by whole-number rules.
 
-Each is SQL that Spark and DuckDB read alike, tables in braces; so both engines
-start from the same rows.
+Each is SQL that Spark and DuckDB read alike, tables in braces and a row for each
+number in angle brackets; so both engines start from the same rows.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ def values(rows: list[str], name: str) -> str:
 
 
 D = "cast({} as double)".format
+NUMBERS = "<0..7>"
 TABLES = {
     "boxes": f"""select event_id as box_id, user_id as page, {D("(event_id * 37) % 1000")} as x0, {D("(event_id * 53) % 800")} as y0,
         {D("(event_id * 37) % 1000 + 20 + (event_id * 7) % 60")} as x1, {D("(event_id * 53) % 800 + 20 + (event_id * 11) % 60")} as y1,
@@ -35,7 +36,7 @@ TABLES = {
     "areas": f"""select u.user_id as page, i as area_ord, {D("(i * 170 + u.user_id) % 900 + case when i >= 6 then 15 else 0 end")} as x0, {D("(i % 6 * 130) % 600 + case when i >= 6 then 15 else 0 end")} as y0,
         {D("(i * 170 + u.user_id) % 900 + case when i >= 6 then 105 else 0 end + 120 + 40 * (i % 5)")} as x1, {D("(i % 6 * 130) % 600 + 160 + 40 * (i % 5)")} as y1,
         case (u.user_id + i) % 6 when 0 then 'window_area' when 1 then 'door_area' when 2 then 'garage_area' when 3 then 'exclude' when 4 then 'mixed' else 'unknown' end as area_type
-        from (select distinct user_id from {{events}}) u cross join (values (0), (1), (2), (3), (4), (5), (6), (7)) as t(i)""",
+        from (select user_id, <0..7> as i from (select distinct user_id from {{events}}) v) u""",
     "titles": f"""select p_partkey as title_id, p_partkey % 50 as page, v.s as title, {D("9 + p_size % 12")} as size, {D("(p_partkey * 41) % 2000")} as x0, {D("(p_partkey * 29) % 1500")} as y0,
         {D("(p_partkey * 41) % 2000 + 150")} as x1, {D("(p_partkey * 29) % 1500 + 20")} as y1 from {{part}} join {values(TITLES, "v")} on p_partkey % {len(TITLES)} = v.k""",
     "comps": f"""select o_orderkey as comp_id, o_orderkey % 50 as page, {D("(o_orderkey * 61) % 2000")} as x0, {D("(o_orderkey * 43) % 1500")} as y0,
@@ -53,7 +54,7 @@ TABLES = {
 
 def sql_of(name: str) -> str:
     """DuckDB's text of a table."""
-    return re.sub(r"\{(\w+)\}", r"\1", TABLES[name])
+    return re.sub(r"\{(\w+)\}", r"\1", TABLES[name]).replace(NUMBERS, "unnest(range(8))")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,7 +62,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     used = set(re.findall(r"\{(\w+)\}", TABLES[name]))
-    return spark.sql(TABLES[name], **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used})
+    return spark.sql(TABLES[name].replace(NUMBERS, "explode(sequence(0, 7))"), **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used})
 
 
 def with_tables(names: list[str], query: str) -> str:

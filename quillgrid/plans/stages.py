@@ -227,7 +227,8 @@ def evaluate(preds: DataFrame, truths: DataFrame, by: list[str]) -> DataFrame:
     counts = truths.groupBy(*by).agg(F.count("*").alias("t")).join(preds.groupBy(*by).agg(F.count("*").alias("p")), by, "full_outer").na.fill(0, ["t", "p"])
     rates = counts.agg(F.avg((F.col("t") == F.col("p")).cast("double")).alias("exact_rate"), F.avg((F.abs(F.col("t") - F.col("p")) <= 1).cast("double")).alias("within_one_rate"))
     hits = m.agg(F.count_if("hit").alias("tp"), F.count("*").alias("n"))
-    return ap.crossJoin(F.broadcast(rates)).crossJoin(F.broadcast(hits)).select("ap", (F.col("tp") / F.nullif(F.col("n"), F.lit(0))).alias("precision"), (F.col("tp") / F.nullif(F.col("n_truth"), F.lit(0))).alias("recall"), "exact_rate", "within_one_rate")  # one row each
+    one = ap.join(rates.withColumn("all", F.lit(0)), "all").join(hits.withColumn("all", F.lit(0)), "all")  # a row each
+    return one.select("ap", (F.col("tp") / F.nullif(F.col("n"), F.lit(0))).alias("precision"), (F.col("tp") / F.nullif(F.col("n_truth"), F.lit(0))).alias("recall"), "exact_rate", "within_one_rate")
 
 
 def weak_labels(boxes: DataFrame, areas: DataFrame, by: str, ident: str, share: float = 0.80) -> DataFrame:

@@ -169,3 +169,37 @@ def test_write_stream(spark, tmp_path):
     q.awaitTermination(90)
     assert sorted((r.sheet_key, r.base_rev, r.rev, r.accepted) for r in seen if r.base_rev is not None) == [("s", 1, 2, False), ("s", 1, 2, True), ("t", 0, 1, True)]
     assert sum(r.accepted for r in seen) == 3
+
+
+def test_evaluation(spark):
+    truths = spark.createDataFrame([("s", 1, 0.0, 0.0, 10.0, 10.0, "door"), ("s", 2, 50.0, 50.0, 60.0, 60.0, "door"), ("t", 3, 0.0, 0.0, 9.0, 9.0, "door")], "sheet string, truth_id long, x0 double, y0 double, x1 double, y1 double, cls string")
+    preds = spark.createDataFrame([("s", 1, 0.0, 0.0, 10.0, 10.0, "door", 0.9), ("s", 2, 80.0, 80.0, 90.0, 90.0, "door", 0.8)], "sheet string, pred_id long, x0 double, y0 double, x1 double, y1 double, cls string, conf double")
+    got = stages.evaluate(preds, truths, ["sheet"]).first()
+    assert (got.ap, got.precision, got.recall) == (pytest.approx(1 / 3), 0.5, pytest.approx(1 / 3))
+    assert (got.exact_rate, got.within_one_rate) == (0.5, 1.0)
+
+
+def test_detections_weak_labels_and_index(spark):
+    box = "sheet string, box_id long, x0 double, y0 double, x1 double, y1 double, conf double, cls string"
+    a = spark.createDataFrame([("s", 1, 0.0, 0.0, 40.0, 40.0, 0.9, "door"), ("s", 2, 1.0, 1.0, 41.0, 41.0, 0.5, "door")], box)
+    b = spark.createDataFrame([("s", 3, 10.0, 10.0, 20.0, 20.0, 0.8, "window"), ("s", 4, 42.0, 0.0, 80.0, 40.0, 0.7, "window")], box)
+    got = stages.detections([a, b], "sheet", "box_id").collect()
+    assert {r.box_id: r.group_no for r in got} == {1: 1, 4: 1}
+    areas = spark.createDataFrame([("s", 0, "door_area", -10.0, -10.0, 100.0, 100.0)], "sheet string, area_ord int, area_type string, x0 double, y0 double, x1 double, y1 double")
+    (weak,) = stages.weak_labels(a, areas, "sheet", "box_id").collect()
+    assert (weak.label, weak.split, weak.n) == ("door", "train", 2)
+    sheets = spark.createDataFrame([("s",), ("u",)], "sheet_key string")
+    blocks = spark.createDataFrame([("s", "b1", "DOORS", "door", 0.0, 0.0, 10.0, 10.0)], "sheet_key string, block_id string, title string, category string, x0 double, y0 double, x1 double, y1 double")
+    index = {r.sheet_key: r for r in stages.viewer_index(sheets, blocks, a.withColumnRenamed("sheet", "sheet_key")).collect()}
+    assert index["s"].blocks[0].rect == [0.0, 0.0, 18.0, 18.0] and len(index["s"].boxes) == 2 and index["u"].boxes is None
+
+
+def test_merge_and_duplicates(spark):
+    old = spark.createDataFrame([("s", 1, 0.0, 0.0, 10.0, 10.0, True), ("s", 2, 50.0, 50.0, 60.0, 60.0, False)], "sheet string, old_id long, x0 double, y0 double, x1 double, y1 double, edited boolean")
+    new = spark.createDataFrame([("s", 1, 1.0, 0.0, 11.0, 10.0), ("s", 2, 51.0, 50.0, 61.0, 60.0), ("s", 3, 80.0, 0.0, 90.0, 10.0)], "sheet string, new_id long, x0 double, y0 double, x1 double, y1 double")
+    areas = spark.createDataFrame([("s", 0, "door_area", 0.0, 0.0, 40.0, 40.0)], "sheet string, area_ord int, area_type string, x0 double, y0 double, x1 double, y1 double")
+    reviewed = spark.createDataFrame([("s", True)], "sheet string, reviewed boolean")
+    got = {(r.old_id, r.new_id): (r.outcome, r.x0, r.area_ord) for r in stages.merge_sheets(old, new, areas, "sheet", reviewed).collect()}
+    assert got == {(1, 1): ("kept_human", 0.0, 0), (2, 2): ("refreshed", 51.0, None), (None, 3): ("added_pending", 80.0, None)}
+    words = spark.createDataFrame([(i, f"WORD{k}") for i in (1, 2, 3) for k in range(30 if i < 3 else 20)] + [(4, "aa")], "sheet long, text string")
+    assert [tuple(r) for r in stages.deduplicate(words).collect()] == [(1, 2)]
