@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import tempfile
 import uuid
@@ -62,12 +63,16 @@ def drop_written() -> None:
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back.
 
-    This cuts the lineage: what follows survives the loss of any executor.
+    This cuts the lineage: what follows survives the loss of any executor. The
+    shuffle files behind it are then of no use; a collection lets Spark's cleaner
+    delete them at once rather than when the driver's heap happens to be full.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quillgrid-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     _written.append((spark, path))
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -26,9 +26,9 @@ from quillgrid.llm import _kernel, _store
 
 LENGTH = 100
 #: Bytes of the runs whose hashes are anchors.
-RUN = 32
+RUN = 24
 #: Bytes whose suffixes are sorted at once (one anchor's surroundings can be more).
-PIECE = 1 << 20
+PIECE = 1 << 19
 #: Texts with an anchor from which on it is dealt to several tasks.
 HOT = 2_048
 
@@ -166,20 +166,28 @@ def survey(df: DataFrame, id_col: str, text_col: str, length: int) -> DataFrame:
     return _keyed(df, id_col, text_col).mapInArrow(run, "id long, t1 long, t2 long, n_bytes long, sha string, anchors array<long>, twice array<long>")
 
 
-SURROUNDINGS = "anchor long, id long, t1 long, t2 long, start int, bytes binary"
+SURROUNDINGS = "task long, hot boolean, id long, t1 long, start int, bytes binary"
 
 
 def _surroundings(joined: DataFrame, length: int) -> DataFrame:
-    """A row for each wanted anchor's place: the bytes of all strings that have it as theirs, and where they start."""
+    """A row for each wanted anchor's place: the bytes of all strings that have it as theirs, and where they start.
+
+    task names the anchor; a hot one (salts over 0) has so many tasks, dealt by document.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, wanted = batch.column(3), batch.column(4)
+            ids, t1, texts, wanted = batch.columns
             for a, b in _kernel.slices(texts):
                 data, offsets = _kernel.buffer_of(texts.slice(a, b - a))
                 starts, places, h = _anchors(data, offsets, length)
-                hit = np.isin(h, np.asarray(wanted.slice(a, b - a).flatten()).view(_U))
-                starts, places, h = starts[hit], places[hit], h[hit]
+                items = wanted.slice(a, b - a).flatten()
+                names = np.asarray(items.field("anchor")).view(_U)
+                names, at = np.unique(names, return_index=True)
+                salts = np.asarray(items.field("salts"))[at]
+                found = np.minimum(np.searchsorted(names, h), max(len(names) - 1, 0))
+                hit = names[found] == h if len(names) else np.zeros(len(h), dtype=bool)
+                starts, places, h, found = starts[hit], places[hit], h[hit], found[hit]
                 if not len(starts):
                     continue
                 fresh = np.ones(len(starts), dtype=bool)
@@ -189,24 +197,27 @@ def _surroundings(joined: DataFrame, length: int) -> DataFrame:
                 raw = data.tobytes()
                 row = np.searchsorted(offsets, starts[first], side="right") - 1
                 pieces = [raw[s:e] for s, e in zip(starts[first].tolist(), (starts[last] + length).tolist(), strict=True)]
-                keys = [batch.column(i).slice(a, b - a).take(pa.array(row)) for i in range(3)]
-                yield pa.RecordBatch.from_arrays([pa.array(h[first].view(np.int64)), *keys, pa.array((starts[first] - offsets[row]).astype(np.int32)), pa.array(pieces, pa.binary())], ["anchor", "id", "t1", "t2", "start", "bytes"])
+                keys = [c.slice(a, b - a).take(pa.array(row)) for c in (ids, t1)]
+                salt = salts[found[first]]
+                dealt = 1 + _kernel.mix(np.asarray(keys[1]).view(_U)) % np.maximum(salt, 1).astype(_U)
+                task = _kernel.mix(h[first] + np.where(salt > 0, dealt, _U(0)))
+                yield pa.RecordBatch.from_arrays([pa.array(task.view(np.int64)), pa.array(salt > 0), *keys, pa.array((starts[first] - offsets[row]).astype(np.int32)), pa.array(pieces, pa.binary())], ["task", "hot", "id", "t1", "start", "bytes"])
 
     return joined.mapInArrow(run, SURROUNDINGS)
 
 
 def _gone(rows: list[tuple], length: int) -> list[np.ndarray]:
-    """For each row (id, t1, t2, start, bytes), in order of these: whether each of its strings occurs earlier."""
-    sizes = np.array([len(r[4]) for r in rows])
-    data = np.frombuffer(b"".join(r[4] for r in rows), dtype=np.uint8)
+    """For each row (id, t1, start, bytes), in order of these: whether each of its strings occurs earlier."""
+    sizes = np.array([len(r[3]) for r in rows])
+    data = np.frombuffer(b"".join(r[3] for r in rows), dtype=np.uint8)
     base = np.cumsum(sizes) - sizes
     count = sizes - length + 1
     of = np.repeat(np.arange(len(rows)), count)
     inner = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
     group = equal_groups(data, base[of] + inner, length)
     ids = np.array([r[0] for r in rows], dtype=np.int64)
-    doc = np.cumsum([i > 0 and rows[i][:3] != rows[i - 1][:3] for i in range(len(rows))])
-    order = np.lexsort((inner + np.array([r[3] for r in rows])[of], doc[of], ids[of], group))
+    doc = np.cumsum([i > 0 and rows[i][:2] != rows[i - 1][:2] for i in range(len(rows))])
+    order = np.lexsort((inner + np.array([r[2] for r in rows])[of], doc[of], ids[of], group))
     g, o = group[order], of[order]
     new = np.ones(len(g), dtype=bool)
     new[1:] = g[1:] != g[:-1]
@@ -228,16 +239,16 @@ def _sort(length: int, survivors: bool):
 
     def flush(rows: list[tuple]) -> pa.RecordBatch:
         out = []
-        rows = sorted(set(rows), key=lambda r: r[:4])  # several anchors' rows, by document; repeated rows of a table once
+        rows = sorted(set(rows), key=lambda r: r[:3])  # several anchors' rows, by document; repeated rows of a table once
         for r, gone in zip(rows, _gone(rows, length), strict=True):
-            out += [(*r[:3], s, e, None, None) for s, e in _spans(gone, r[3], length)]
+            out += [(*r[:2], s, e, None, None) for s, e in _spans(gone, r[2], length)]
             if survivors and not gone.all():
-                data = np.frombuffer(r[4], dtype=np.uint8)
+                data = np.frombuffer(r[3], dtype=np.uint8)
                 at = np.flatnonzero(~gone)
                 h = [_kernel.spans(_kernel.rolling(_kernel._BYTE[data], base), at, at + length, base).view(np.int64).tolist() for base in (_B0, _B1)]
-                out += [(*r[:3], r[3] + p, r[3] + p + length, x, y) for p, x, y in zip(at.tolist(), *h, strict=True)]
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], k) for i, k in enumerate(kinds)], ["id", "t1", "t2", "s", "e", "h1", "h2"])
+                out += [(*r[:2], r[2] + p, r[2] + p + length, x, y) for p, x, y in zip(at.tolist(), *h, strict=True)]
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], k) for i, k in enumerate(kinds)], ["id", "t1", "s", "e", "h1", "h2"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size, now = [], 0, None
@@ -249,7 +260,7 @@ def _sort(length: int, survivors: bool):
                         rows, size = [], 0
                     now = key
                 rows.append(tuple(row))
-                size += len(row[4])
+                size += len(row[3])
         if rows:
             yield flush(rows)
 
@@ -284,42 +295,39 @@ def dedup_bytes(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", tex
     are judged on the input and don't reach over rows. spans are the maximal
     removed runs (start, end). Null and short texts lose nothing; rows of equal id
     don't affect each other; a row without an id comes after all others. Only id
-    and text are read. length is 32 at least.
+    and text are read. length is 24 at least and 120 at most.
     """
     if length < RUN or length > 120:
-        raise ValueError("length must be between 32 and 120")
+        raise ValueError("length must be between 24 and 120")
     spark = df.sparkSession
     _store.prepare(spark)
-    key = ["id", "t1", "t2"]
+    key = ["id", "t1"]
     docs = _store.keep(survey(df, id_col, text_col, length), "suffix-survey")
     first = docs.groupBy("t1", "t2").agg(F.min("id").alias("first"))
-    first = _store.keep(first.join(docs.select(*key, "n_bytes", "sha"), ["t1", "t2"]), "suffix-first")
-    own = first.where(f"id = first and n_bytes >= {length}").select(*key).distinct()
-    mine = _store.keep(docs.join(own, key, "left_semi").dropDuplicates(key).select(*key, "anchors", "twice"), "suffix-own")
-    anchors = mine.select(*key, F.explode("anchors").alias("anchor"), F.col("twice"))
-    more = mine.select(F.explode("twice").alias("anchor"), F.lit(1).cast("long").alias("n"))
-    many = anchors.select("anchor", F.lit(1).cast("long").alias("n")).unionByName(more).groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1")
+    first = _store.keep(first.join(docs.select(*key, "t2", "n_bytes", "sha"), ["t1", "t2"]), "suffix-first")
+    # anchors in two texts or twice in one; of equal texts only the first is looked at
+    own = first.where(f"id = first and n_bytes >= {length}").select(*key, F.xxhash64("id", "t1").alias("doc")).distinct()
+    anchors = docs.where(f"n_bytes >= {length}").select(F.xxhash64("id", "t1").alias("doc"), "t1", F.explode("anchors").alias("anchor"))
+    inner = docs.select("t1", F.explode("twice").alias("anchor"))
+    rows = anchors.select("anchor", "t1").unionByName(inner.select("anchor", (-F.col("t1") - 1).alias("t1")))
+    many = rows.groupBy("anchor").agg(F.min("t1").alias("lo"), F.max("t1").alias("hi"), F.count("*").alias("n")).where("lo != hi")
+    many = many.select("anchor", F.when(F.col("n") >= HOT, F.ceil(F.col("n") / HOT)).otherwise(0).cast("int").alias("salts"))
     many = _store.keep(many, "suffix-anchors")
-    wanted = anchors.select(*key, "anchor").join(many.select("anchor"), "anchor").groupBy(*key).agg(F.collect_list("anchor").alias("wanted"))
-    wanted = _store.keep(wanted, "suffix-wanted")
-    texts = _keyed(df, id_col, text_col).join(wanted.hint("shuffle_hash"), key)
+    wanted = anchors.select("doc", "anchor").join(many, "anchor").groupBy("doc").agg(F.collect_list(F.struct("anchor", "salts")).alias("wanted"))
+    wanted = _store.keep(wanted.join(own, "doc").select(*key, "wanted"), "suffix-wanted")
+    texts = _keyed(df, id_col, text_col).select(*key, "text").join(wanted.hint("shuffle_hash"), key)
     found = _store.keep(texts.select(*key, "text", "wanted"), "suffix-texts")
     around = _surroundings(found, length)
-    hot = many.where(F.col("n") >= HOT).withColumn("salts", F.ceil(F.col("n") / HOT))
-    around = around.join(hot.select("anchor", "salts"), "anchor", "left")
     parts = _store.partitions(spark)
-    task = F.when(F.col("salts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("id", "t1"), F.col("salts")) + 1)
-    dealt = around.select(F.struct("anchor", task.alias("task")).alias("k"), "id", "t1", "t2", "start", "bytes")
-    dealt = dealt.select(F.xxhash64("k.anchor", "k.task").alias("key"), (F.col("k.task") > 0).alias("hot"), "id", "t1", "t2", "start", "bytes")
-    schema = "id long, t1 long, t2 long, s int, e int, h1 long, h2 long"
+    schema = "id long, t1 long, s int, e int, h1 long, h2 long"
 
     def sorted_rows(rows: DataFrame, survivors: bool) -> DataFrame:
-        rows = rows.select("key", "id", "t1", "t2", "start", "bytes").repartition(4 * parts, "key").sortWithinPartitions("key", "id", "t1", "t2", "start")
+        rows = rows.select("task", *key, "start", "bytes").repartition(4 * parts, "task").sortWithinPartitions("task")
         return rows.mapInArrow(_sort(length, survivors), schema)
 
-    spans = sorted_rows(dealt.where("not hot"), False)
-    if hot.limit(1).count():
-        rough = _store.keep(sorted_rows(dealt.where("hot"), True), "suffix-hot")
+    spans = sorted_rows(around.where("not hot"), False)
+    if many.where("salts > 0").limit(1).count():
+        rough = _store.keep(sorted_rows(around.where("hot"), True), "suffix-hot")
         stay = rough.where("h1 is not null")
         least = stay.groupBy("h1", "h2").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
         late = stay.join(least, ["h1", "h2"]).where("id > least").select(*stay.columns)
