@@ -70,3 +70,63 @@ def rank_first(df: DataFrame, by: list[str], order: list, n: int = 1) -> DataFra
     """The first n rows of each group in a total order."""
     w = Window.partitionBy(*by).orderBy(*order)
     return df.withColumn("__k", F.row_number().over(w)).where(F.col("__k") <= n).drop("__k")
+
+
+def merge_areas(old: DataFrame, new: DataFrame, by: list[str], limit: float = 0.5) -> DataFrame:
+    """(by, old_ord, new_ord, x0, y0, x1, y1, area_type, outcome) of a merge of fresh areas into stored ones.
+
+    An area is matched by its block first, else by the first free one in order that
+    overlaps by limit. A matched rectangle is refreshed unless edited, its type
+    unless a human set it; stored areas stay, fresh ones are added as new.
+    """
+    import pandas as pd
+
+    from quillgrid.operators.greedy import SIDES, _grouped, iou_matrix
+
+    cols = ["ord", "block_id", "area_type", "edited", "human"]
+    a = old.select(*by, F.lit(0).alias("side"), *cols, *SIDES)
+    b = new.select(*by, F.lit(1).alias("side"), *cols, *SIDES)
+
+    def fn(g: pd.DataFrame) -> pd.DataFrame:
+        o, n = (g[g.side == s].sort_values("ord").reset_index(drop=True) for s in (0, 1))
+        over = iou_matrix(o[SIDES].to_numpy(float), n[SIDES].to_numpy(float))
+        used, out = set(), []
+        for i, x in o.iterrows():
+            same = [j for j in n.index if j not in used and x.block_id and n.block_id[j] == x.block_id]
+            near = [j for j in n.index if j not in used and over[i, j] >= limit]
+            j = (same or near or [None])[0]
+            rect, kind, outcome = x[SIDES].tolist(), x.area_type, "kept"
+            if j is not None:
+                used.add(j)
+                rect = rect if x.edited else n.loc[j, SIDES].tolist()
+                kind, outcome = x.area_type if x.human else n.area_type[j], "matched"
+            out.append((x.ord, None if j is None else n.ord[j], *rect, kind, outcome))
+        out += [(None, n.ord[j], *n.loc[j, SIDES].tolist(), n.area_type[j], "new_since_seed") for j in n.index if j not in used]
+        frame = pd.DataFrame(out, columns=["old_ord", "new_ord", *SIDES, "area_type", "outcome"])
+        return frame.astype({"old_ord": "Int64", "new_ord": "Int64"})
+
+    return _grouped(a.unionByName(b), by, ["side", *cols, *SIDES], fn, "old_ord long, new_ord long, x0 double, y0 double, x1 double, y1 double, area_type string, outcome string")
+
+
+def accept_pending(openings: Column) -> Column:
+    """Pending openings that have a class become accepted."""
+    return F.transform(openings, lambda o: o.withField("state", F.when((o["state"] == "pending") & (F.coalesce(o["cls"], F.lit("")) != ""), "accepted").otherwise(o["state"])))
+
+
+def reject_unassigned(openings: Column) -> Column:
+    """Openings without an area become rejected."""
+    return F.transform(openings, lambda o: o.withField("state", F.when(F.coalesce(o["area_id"], F.lit("")) == "", "rejected").otherwise(o["state"])))
+
+
+def set_class(openings: Column, ident: str, cls: str) -> Column:
+    """A class set by a human, which accepts the opening."""
+    mine = lambda o: o["id"] == ident
+    return F.transform(openings, lambda o: o.withField("cls", F.when(mine(o), cls).otherwise(o["cls"])).withField("cls_source", F.when(mine(o), "human").otherwise(o["cls_source"])).withField("state", F.when(mine(o), "accepted").otherwise(o["state"])))
+
+
+def progress(openings: DataFrame, areas: DataFrame, key: str = "sheet_key") -> DataFrame:
+    """(sheet, openings, flagged, unknown, difficulty) with a total row (null key): flagged + 3 unknown + 5 without areas + 0.2 a box, one decimal."""
+    o = openings.groupBy(key).agg(F.count("*").alias("openings"), F.count_if(F.size("flags") > 0).alias("flagged"), F.count_if(F.coalesce("cls", F.lit("")) == "").alias("unknown"))
+    a = areas.select(key).distinct().withColumn("has", F.lit(1))
+    s = o.join(a, key, "left").withColumn("difficulty", F.round(F.col("flagged") + 3 * F.col("unknown") + F.when(F.col("has").isNull(), 5).otherwise(0) + 0.2 * F.col("openings"), 1))
+    return s.rollup(key).agg(F.sum("openings").alias("openings"), F.sum("flagged").alias("flagged"), F.sum("unknown").alias("unknown"), F.round(F.sum("difficulty"), 1).alias("difficulty"))

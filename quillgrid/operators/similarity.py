@@ -79,3 +79,27 @@ def components(pairs: DataFrame, rounds: int = 30) -> DataFrame:
         if not changed:
             return label
     raise RuntimeError("components did not settle")
+
+
+def duplicate_groups(pairs: DataFrame, sheets: DataFrame, comps: DataFrame) -> DataFrame:
+    """(first, members, n, across): stars around the first free member of each group, the largest first.
+
+    sheets: (node, project); across tells whether a group spans projects.
+    """
+
+    def fn(g: pd.DataFrame) -> pd.DataFrame:
+        near: dict[int, set[int]] = {}
+        for a, b in zip(g.a, g.b, strict=True):
+            near.setdefault(a, set()).add(b)
+            near.setdefault(b, set()).add(a)
+        used, out = set(), []
+        for i in sorted(near):
+            star = [j for j in sorted(near[i]) if j > i and j not in used]
+            if i not in used and star:
+                used.update([i, *star])
+                out += [(i, j) for j in [i, *star]]
+        return pd.DataFrame(out, columns=["first", "node"])
+
+    stars = pairs.join(comps.select(F.col("node").alias("a"), "root"), "a").groupBy("root").applyInPandas(fn, "first long, node long")
+    grouped = stars.join(sheets, "node").groupBy("first").agg(F.sort_array(F.collect_list("node")).alias("members"), F.count("*").alias("n"), (F.count_distinct("project") > 1).alias("across"))
+    return grouped.orderBy(F.desc("n"), "first")
