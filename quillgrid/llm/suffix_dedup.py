@@ -51,18 +51,37 @@ def _characters(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def _ranks(*keys: np.ndarray) -> np.ndarray:
-    """Dense rank of each row of keys, the first key weighing most."""
-    order = np.lexsort(keys[::-1])
-    new = np.zeros(len(order), dtype=bool)
-    for k in keys:
-        s = k[order]
-        new[1:] |= s[1:] != s[:-1]
-    out = np.empty(len(order), dtype=np.int64)
+def _sorted(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, the keys in it); a sort of plain numbers where key and index fit into one, which is far faster."""
+    width = len(key).bit_length()
+    if int(key.max(initial=0)).bit_length() + width > 64:
+        order = np.argsort(key)
+        return order, key[order]
+    both = np.sort(key << _U(width) | np.arange(len(key), dtype=_U))
+    return (both & _U((1 << width) - 1)).astype(np.int64), both >> _U(width)
+
+
+def _dense(key: np.ndarray) -> np.ndarray:
+    """Dense rank of each number, from 0."""
+    order, ordered = _sorted(key)
+    new = np.zeros(len(key), dtype=_U)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:], casting="unsafe")
+    out = np.empty(len(key), dtype=_U)
     out[order] = np.cumsum(new)
     return out
 
 
+def _ranks(*keys: np.ndarray) -> np.ndarray:
+    """Dense rank of each row of keys, which are small numbers themselves, the first weighing most."""
+    out = keys[0]
+    for k in keys[1:]:
+        width = int(k.max(initial=0)).bit_length()
+        if int(out.max(initial=0)).bit_length() + width + len(k).bit_length() > 64:
+            out = _dense(out)
+        out = out << _U(width) | k
+    return _dense(out)
+
+
 def suffix_order(data: np.ndarray) -> np.ndarray:
     """Suffixes of data in order of their first 120 bytes at least.
 
@@ -72,35 +91,34 @@ def suffix_order(data: np.ndarray) -> np.ndarray:
     n = len(data)
     if n == 0:
         return np.zeros(0, dtype=np.int64)
-    c = _characters(data)
-    at = np.arange(n + 128)
-    kind = at // STEP % 3
+    c = _dense(_characters(data))
+    kind = np.arange(n + 128) // STEP % 3
     sample = np.flatnonzero(kind[: n + 48] != 0)
     # sort the sampled triples: names of 24 bytes
-    name = np.zeros(n + 400, dtype=np.int64)
-    name[sample] = 1 + _ranks(c[sample], c[sample + STEP], c[sample + 2 * STEP])
+    name = np.zeros(n + 400, dtype=_U)
+    name[sample] = _U(1) + _ranks(c[sample], c[sample + STEP], c[sample + 2 * STEP])
     # recurse on names: triples of names reach 72 bytes, then two of these 120
     for reach in ((24, 48), (48,)):
         if name[sample].max() == len(sample):
             break
-        new = 1 + _ranks(name[sample], *(name[sample + r] for r in reach))
+        new = _U(1) + _ranks(name[sample], *(name[sample + r] for r in reach))
         name[:] = 0
         name[sample] = new
     # merge the remaining suffixes: each pair of classes has a shift at which both are sampled
     rest, one, two = (np.flatnonzero(kind[:n] == k) for k in (0, 1, 2))
-    by_one = _ranks(np.concatenate([c[rest], c[one]]), name[np.concatenate([rest, one]) + STEP])
-    by_two = _ranks(np.concatenate([c[rest], c[two]]), np.concatenate([c[rest + STEP], c[two + STEP]]), name[np.concatenate([rest, two]) + 2 * STEP])
+    with_one, with_two = np.concatenate([rest, one]), np.concatenate([rest, two])
+    by_one = _ranks(c[with_one], name[with_one + STEP])
+    by_two = _ranks(c[with_two], c[with_two + STEP], name[with_two + 2 * STEP])
     r1, r2 = by_one[: len(rest)], by_two[: len(rest)]
-    ordered = np.argsort(r1, kind="stable")
-    rest, r1, r2 = rest[ordered], r1[ordered], r2[ordered]
+    ordered = _sorted(r1)[0]
+    rest, r1, r2 = rest[ordered], r1[ordered], np.maximum.accumulate(r2[ordered])
     out = np.empty(n, dtype=np.int64)
     place = np.arange(len(rest)) + np.searchsorted(np.sort(by_one[len(ordered) :]), r1) + np.searchsorted(np.sort(by_two[len(ordered) :]), r2)
-    place = np.maximum.accumulate(place - np.arange(len(rest))) + np.arange(len(rest))
     taken = np.zeros(n, dtype=bool)
     taken[place] = True
     out[place] = rest
     sampled = np.concatenate([one, two])
-    out[~taken] = sampled[np.argsort(name[sampled], kind="stable")]
+    out[~taken] = sampled[_sorted(name[sampled])[0]]
     return out
 
 
@@ -215,17 +233,17 @@ def _gone(rows: list[tuple], length: int) -> list[np.ndarray]:
     of = np.repeat(np.arange(len(rows)), count)
     inner = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
     group = equal_groups(data, base[of] + inner, length)
-    ids = np.array([r[0] for r in rows], dtype=np.int64)
-    doc = np.cumsum([i > 0 and rows[i][:2] != rows[i - 1][:2] for i in range(len(rows))])
-    order = np.lexsort((inner + np.array([r[2] for r in rows])[of], doc[of], ids[of], group))
-    g, o = group[order], of[order]
+    # rows, and strings within them, are in order of document and place: only the groups are to be sorted
+    ids = np.array([r[0] for r in rows], dtype=np.int64)[of]
+    doc = np.cumsum([i > 0 and rows[i][:2] != rows[i - 1][:2] for i in range(len(rows))])[of]
+    order, g = _sorted(group.astype(_U))
     new = np.ones(len(g), dtype=bool)
     new[1:] = g[1:] != g[:-1]
-    least = ids[o][new][np.cumsum(new) - 1]
+    least = ids[order][new][np.cumsum(new) - 1]
     again = np.zeros(len(g), dtype=bool)
-    again[1:] = ~new[1:] & (doc[o][1:] == doc[o][:-1])
+    again[1:] = ~new[1:] & (doc[order][1:] == doc[order][:-1])
     out = np.empty(len(g), dtype=bool)
-    out[order] = (ids[o] > least) | again
+    out[order] = (ids[order] > least) | again
     return np.split(out, np.cumsum(count)[:-1])
 
 
@@ -238,9 +256,14 @@ def _sort(length: int, survivors: bool):
     """Rows sorted by key and document to removed spans; with survivors, also 128-bit hashes of the strings that stay."""
 
     def flush(rows: list[tuple]) -> pa.RecordBatch:
-        out = []
-        rows = sorted(set(rows), key=lambda r: r[:3])  # several anchors' rows, by document; repeated rows of a table once
-        for r, gone in zip(rows, _gone(rows, length), strict=True):
+        out, first, left = [], {}, []
+        for r in sorted(set(rows), key=lambda r: r[:3]):  # several anchors' rows, by document; repeated rows of a table once
+            known = first.setdefault(r[3], r)
+            if known[0] < r[0] or (known is not r and known[:2] == r[:2]):  # all its strings are in an earlier row
+                out.append((*r[:2], r[2], r[2] + len(r[3]), None, None))
+            else:
+                left.append(r)
+        for r, gone in zip(left, _gone(left, length), strict=True):
             out += [(*r[:2], s, e, None, None) for s, e in _spans(gone, r[2], length)]
             if survivors and not gone.all():
                 data = np.frombuffer(r[3], dtype=np.uint8)
@@ -330,6 +353,7 @@ def dedup_bytes(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", tex
         rough = _store.keep(sorted_rows(around.where("hot"), True), "suffix-hot")
         stay = rough.where("h1 is not null")
         least = stay.groupBy("h1", "h2").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
+        least = _store.keep(least, "suffix-least")
         late = stay.join(least, ["h1", "h2"]).where("id > least").select(*stay.columns)
         spans = spans.unionByName(rough.where("h1 is null")).unionByName(late)
     gone = spans.groupBy(*key).agg(F.collect_list(F.struct("s", "e")).alias("gone"))
