@@ -135,6 +135,7 @@ def dedup_substrings(df: DataFrame, width: int = WINDOW, id_col: str = "doc_id",
     own = first.where("id = first and n_words >= %d" % width).select("id", "t1", "t2").distinct()
     anchors = docs.where("n_words >= %d" % width).select("id", "t1", "t2", F.explode("anchors").alias("anchor"))
     many = anchors.groupBy("anchor").agg(F.min("t1").alias("lo"), F.max("t1").alias("hi")).where("lo != hi").select("anchor")
+    many = _store.keep(many, "windows-anchors")  # a join of two plain shuffles is one that Spark can split
     wanted = anchors.join(many, "anchor").groupBy("id", "t1", "t2").agg(F.collect_set("anchor").alias("wanted"))
     wanted = _store.keep(wanted.join(own, ["id", "t1", "t2"], "left_semi"), "windows-wanted")
     texts = _keyed(df, id_col, text_col)
@@ -142,6 +143,7 @@ def dedup_substrings(df: DataFrame, width: int = WINDOW, id_col: str = "doc_id",
     found = _store.keep(_window_hashes(joined, width), "windows-hashes")
     rows = found.select("id", "t1", "t2", F.explode(F.arrays_zip("at", "h1", "h2")).alias("w")).select("id", "t1", "t2", "w.at", "w.h1", "w.h2")
     least = rows.groupBy("h1", "h2").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("h1", "h2", "least")
+    least = _store.keep(least, "windows-least")
     gone = rows.join(least, ["h1", "h2"]).where("id > least").groupBy("id", "t1", "t2").agg(F.collect_set("at").alias("gone"))
     gone = _store.keep(gone, "windows-gone")
     key = ["id", "t1", "t2"]
