@@ -81,3 +81,35 @@ def test_near_copies_and_repeated_ids(spark):
     rows = [(5, say), (3, say + " more"), (9, None), (9, None), (4, "other words here"), (4, "other words here"), (None, say)]
     got = corpus_pipeline.near_duplicate_stage(spark, frame(spark, rows), SMALL).collect()
     assert sorted(r.doc_id for r in got) == [3, 4, 9]
+
+
+def test_planted_near_copies_are_linked(spark):
+    import random
+
+    from quillgrid.llm import near_copies
+
+    from .conftest import frame
+
+    r = random.Random(3)
+    word = lambda: f"w{r.randrange(5000)}"
+    line = [word() for _ in range(30)]  # in many documents
+    rows = []
+    for k in range(40):
+        base = [word() for _ in range(r.choice((8, 60, 200, 900)))] + line * (k % 2)
+        rows.append((len(rows), " ".join(base)))
+        for changes in (0, 1, 1, 2, 3, 5, 12):
+            copy = list(base)
+            for _ in range(changes * len(base) // 200 + (changes > 0)):
+                copy[r.randrange(len(copy))] = word()
+            rows.append((len(rows), " ".join(copy)))
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (t.lower().split() for _, t in rows)]
+    like = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    roots = groups(len(rows), lambda a, b: like(a, b) >= 0.8)
+    assert 40 < len(set(roots)) < 200
+    for tile in (2048, 5):
+        near_copies.TILE_SETS = tile
+        got = near_copies.near_duplicates(frame(spark, rows)).collect()
+        assert {x.doc_id: x.component_id for x in got} == dict(enumerate(roots))
+    near_copies.TILE_SETS = 2048
+    kept = corpus_pipeline.near_duplicate_stage(spark, frame(spark, rows), SMALL).collect()
+    assert sorted(x.doc_id for x in kept) == sorted(set(roots))
