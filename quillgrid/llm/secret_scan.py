@@ -26,7 +26,6 @@ LEAST = {"assign": 12, "access": 18, "hex": 16}
 NAME_PARTS = {"password": 3, "passwd": 3, "passphrase": 3, "pwd": 3, "pass": 2, "secret": 3, "token": 2, "apikey": 3, "credential": 3, "credentials": 3, "auth": 1, "bearer": 2, "private": 1, "access": 1, "api": 1, "key": 2, "dsn": 1, "signing": 1, "encryption": 1}
 SCORE_LEAST = 5
 LITERAL_LEAST = 8
-_STEMS = (b"pass", b"pwd", b"secret", b"token", b"apikey", b"credential", b"key", b"auth", b"bearer")
 _DULL = re.compile(r"(?i)^(?:x+|\*+|\.+|change_?me.*|example.*|your[_-].*|<.*>|\$\{.*\}|%\(.*\)s|null|none|true|false)$")
 #: One token: a quoted literal on one line, a name, an assignment sign, a line's end, or another sign.
 _TOKEN = re.compile(r"""(?P<text>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)|(?P<name>[A-Za-z_$][\w$-]*(?:\.[A-Za-z_$][\w$-]*)*)|(?P<set>:=|=>|=(?!=)|:(?!:))|(?P<end>[\n;,])|(?P<gap>[ \t]+)|(?P<other>[^\s])""", re.ASCII)
@@ -99,7 +98,7 @@ def scan(text: str, lowered: bytes | None = None, hexes: bool = True) -> list[tu
         found += [("access", *m.span()) for m in ACCESS.finditer(text) if m.end() - m.start() >= LEAST["access"]]
     if hexes:
         found += [("hex", *m.span()) for m in HEX.finditer(text) if m.end() - m.start() >= LEAST["hex"]]
-    if any(k in low for k in _STEMS) and (b"=" in low or b":" in low):
+    if b"=" in low or b":" in low:
         spans = {(s, e) for name, s, e in assignments(text) if (n := name_score(name)) and (v := literal_score(text[s:e])) and n + v >= SCORE_LEAST}
         found += [("literal", s, e) for s, e in spans]
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))

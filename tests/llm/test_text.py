@@ -109,6 +109,16 @@ def test_named_literals():
     assert found('password == "Tr0ub4dor&3xy"') == []
 
 
+def test_every_part_of_a_name_is_looked_at():
+    value = "Tr0ub4dor&3xy-Qm7LpZ"
+    assert secret_scan.scan('dsn = "postgres://svc:Tr0ub4dor3xy@db.internal/main"') == [("literal", 7, 51)]
+    names = [*secret_scan.NAME_PARTS, *(f"{p[:k]}_{p[k:]}" for p in secret_scan.NAME_PARTS for k in range(1, len(p)))]
+    for name in names:
+        text = f'{name} = "{value}"'
+        strong = secret_scan.name_score(name) and secret_scan.name_score(name) + secret_scan.literal_score(value) >= secret_scan.SCORE_LEAST
+        assert (("literal", len(name) + 4, len(text) - 1) in secret_scan.scan(text)) == bool(strong), name
+
+
 def test_secret_rows(odd, odd_rows, nothing):
     got = secret_scan.scan_secrets(odd).collect()
     assert Counter((r.doc_id, tuple(map(tuple, r.spans))) for r in got) == Counter((i, tuple(secret_scan.scan(t or ""))) for i, t in odd_rows)
