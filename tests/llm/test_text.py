@@ -230,6 +230,17 @@ def test_chunked_ids_are_the_librarys_ids():
     assert mine.ids("plain words again") == packing.ChunkTokenizer(BPE).ids("plain words again")
 
 
+def test_added_tokens_are_the_librarys():
+    from tokenizers import Tokenizer
+
+    tk, mine, r = Tokenizer.from_file(BPE), packing.ChunkTokenizer(BPE), random.Random(4)
+    added = [t.content for t in tk.get_added_tokens_decoder().values()]
+    assert added
+    for _ in range(400):
+        s = "".join(r.choice([*added, "hi", " ", "x", "\n", "<|", "|>"]) for _ in range(r.randint(1, 10)))
+        assert mine.ids(s) == np.array(tk.encode(s, add_special_tokens=False).ids, dtype="<u4").tobytes(), repr(s)
+
+
 def test_pieces_agree_with_the_library(odd, odd_rows, nothing):
     import sentencepiece
 
