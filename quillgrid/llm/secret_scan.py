@@ -29,6 +29,16 @@ LITERAL_LEAST = 8
 _DULL = re.compile(r"(?i)^(?:x+|\*+|\.+|change_?me.*|example.*|your[_-].*|<.*>|\$\{.*\}|%\(.*\)s|null|none|true|false)$")
 #: One token: a quoted literal on one line, a name, an assignment sign, a line's end, or another sign.
 _TOKEN = re.compile(r"""(?P<text>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)|(?P<name>[A-Za-z_$][\w$-]*(?:\.[A-Za-z_$][\w$-]*)*)|(?P<set>:=|=>|=(?!=)|:(?!:))|(?P<end>[\n;,])|(?P<gap>[ \t]+)|(?P<other>[^\s])""", re.ASCII)
+#: An unquoted value, after its sign: up to a blank, a quote, a comment or the line's end. Of a longer run its first 4096 characters, so that time stays in proportion.
+_BARE = re.compile(r"""[^\s"'`#][^\s"'`]{0,4095}""")
+#: A plain name, which in code stands for something else; a member of something; a call or an index.
+_PLAIN = re.compile(r"[A-Za-z_$][A-Za-z_$.-]*")
+_MEMBER = re.compile(r"[A-Za-z_$][\w$]*(?:\.[A-Za-z_$][\w$]*)+", re.ASCII)
+_CALL = re.compile(r"(?:new |await |not )?[A-Za-z_$][\w$.]*(?:::[\w$]+)*[(\[{]|[(\[{]", re.ASCII)
+_LAST = re.compile(r"[ \t]*(?:(?<=[ \t])(?:#|//|;|--).*)?(?=\r?\n|\Z)")
+_FIRST = re.compile(r"[ \t]*(?:-[ \t]+|export[ \t]+|set[ \t]+)?[\"']?[\w$.-]+[\"']?[ \t]*", re.ASCII)
+#: A type between a name and its assignment: name: type = value.
+_TYPED = re.compile(r":[ \t]*&?(?:'?\w+[ \t]+)?[A-Za-z_$][\w$.]*(?:\[[^\]\n=]{0,200}\]|<[^>\n=]{0,200}>){0,4}[?!]?(?:[ \t]*\|[ \t]*[\w$.]+){0,20}[ \t]*=(?![=>])", re.ASCII)
 _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 
@@ -48,39 +58,75 @@ def literal_score(value: str) -> int:
     return 1 + (classes >= 2) + (classes >= 3) + (entropy >= 3) + (len(value) >= 20)
 
 
+def _bare(text: str, sign: re.Match[str]) -> tuple[int, int] | None:
+    """The span of the unquoted value after an assignment sign; None where it is code rather than a value.
+
+    A call, an index or a bracket is code. A plain name or a member is a value
+    only in a line of configuration: name=value or name: value and nothing else.
+    """
+    at = sign.end()
+    while at < len(text) and text[at] in " \t":
+        at += 1
+    m = _BARE.match(text, at)
+    if not m or _CALL.match(text, at):
+        return None
+    end = m.end()
+    spare = {c: text.count(c, at, end) - text.count(o, at, end) for o, c in ("()", "[]", "{}")}
+    while end > at and (text[end - 1] in ",;" or spare.get(text[end - 1], 0) > 0):
+        end -= 1
+        if text[end] in spare:
+            spare[text[end]] -= 1
+    value = text[at:end]
+    if _PLAIN.fullmatch(value) or _MEMBER.fullmatch(value):
+        line = text.rfind("\n", max(0, sign.start() - 400), sign.start()) + 1  # a name before it is shorter
+        tight = sign[0] == ":" or (sign[0] == "=" and at == sign.end() and text[sign.start() - 1] not in " \t")
+        if not tight or end != m.end() or not _FIRST.fullmatch(text, line, sign.start()) or not _LAST.match(text, end):
+            return None
+    return at, end
+
+
 def assignments(text: str) -> list[tuple[str, int, int]]:
     """(target name, literal start, end) of each assignment in reading order.
 
     Targets are plain, dotted or quoted names before one of = : := =>. A bare
     name on the right stands for the literals last assigned to it, so constants
-    are propagated, over any number of steps.
+    are propagated, over any number of steps; any other unquoted value is a
+    literal itself. A target stays one across its type (name: type = value).
     """
     out: list[tuple[str, int, int]] = []
     known: dict[str, tuple[int, int]] = {}
-    target, armed = "", False
+    target, armed, typed, skip = "", False, "", 0  # typed: what stands in a type's place, skip: where the type ends
+
+    def put(span: tuple[int, int]) -> None:
+        for name in filter(None, (typed, target)):
+            known[name] = span
+            out.append((name, *span))
+
     for m in _TOKEN.finditer(text):
         kind = m.lastgroup
-        if kind == "gap":
+        if kind == "gap" or m.start() < skip:
             continue
         if kind == "set":
             armed = bool(target)
+            if armed and m[0] == ":" and (t := _TYPED.match(text, m.start())):
+                skip = t.end() - 1
+                typed = t[0][1:-1].strip()
+            elif armed and (span := _bare(text, m)) and text[slice(*span)] not in known:
+                put(span)
         elif kind == "text" and armed:
-            span = m.start() + 1, m.end() - 1
-            known[target] = span
-            out.append((target, *span))
-            target, armed = "", False
+            put((m.start() + 1, m.end() - 1))
+            target, armed, typed = "", False, ""
         elif kind == "name" and armed:
             if m[0] in known:
-                known[target] = known[m[0]]
-                out.append((target, *known[m[0]]))
-            target, armed = m[0], False  # a chain like a = b = "x" goes on from b
+                put(known[m[0]])
+            target, armed, typed = m[0], False, ""  # a chain like a = b = "x" goes on from b
         elif kind == "text":
             inner = m[0][1:-1]
             target = inner if re.fullmatch(r"[A-Za-z_$][\w$.-]*", inner, re.ASCII) else ""
         elif kind == "name":
             target = m[0]
         else:
-            target, armed = "", False
+            target, armed, typed = "", False, ""
     return out
 
 

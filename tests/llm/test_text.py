@@ -119,6 +119,25 @@ def test_every_part_of_a_name_is_looked_at():
         assert (("literal", len(name) + 4, len(text) - 1) in secret_scan.scan(text)) == bool(strong), name
 
 
+def test_unquoted_values_and_typed_declarations():
+    def found(text):
+        return [text[s:e] for k, s, e in secret_scan.scan(text) if k == "literal"]
+
+    assert found("DB_PWD=Tr0ub4dor3xyz") == ["Tr0ub4dor3xyz"]
+    assert found("client_credential: q8Zr-19xLmP0") == ["q8Zr-19xLmP0"]
+    assert found("user: bob\n  db_passphrase: Tr0ub4dor&3xy # for tests\nport: 80") == ["Tr0ub4dor&3xy"]
+    assert found("[db]\r\npwd = Tr0ub4dor&3xy\r\nhost = h\r\n") == ["Tr0ub4dor&3xy"]
+    assert found("export DB_PWD=CorrectHorseBattery\n") == ["CorrectHorseBattery"]
+    assert found("{user: bob, pwd: Tr0ub4dor3xyz, port: 80}") == ["Tr0ub4dor3xyz"]
+    assert found("DB_PWD=a/b+Tr0ub4dor3==") == ["a/b+Tr0ub4dor3=="]
+    assert found('KEEP = "Tr0ub4dor&3xy"\ndb_pwd = KEEP') == ["Tr0ub4dor&3xy"]
+    for kind in ("string", "str", "Optional[str]", "string | null", "&'static str", "Map<String, String>", "String?"):
+        assert found(f'let apiKey: {kind} = "q8Zr-19xLmP0"') == ["q8Zr-19xLmP0"], kind
+    assert found('else: password = "Tr0ub4dor&3xy"') == ["Tr0ub4dor&3xy"]
+    for code in ("password = getPassword(userName1)", "secretKey = config.secretKey", "pwd=os.environ[NAME_1]", "f(password=userPassword, token=nextToken)", "pwd = userPassword", "pwd: ${DB_PASSWORD_1}"):
+        assert found(code) == [], code
+
+
 def test_secret_rows(odd, odd_rows, nothing):
     got = secret_scan.scan_secrets(odd).collect()
     assert Counter((r.doc_id, tuple(map(tuple, r.spans))) for r in got) == Counter((i, tuple(secret_scan.scan(t or ""))) for i, t in odd_rows)
