@@ -18,9 +18,10 @@ from quillgrid.llm import _store
 
 #: Hashed n-gram features, as a power of two.
 BITS = 15
-#: The model is fitted on about so many labelled documents of each language, and languages are the most frequent ones.
+#: The model is fitted on about so many labelled documents of each language.
 ROWS_PER_LANGUAGE = 400
-MAX_LANGUAGES = 64
+#: Bytes of a model that is broadcast, at most (128 KB for each language).
+MODEL_BYTES = 64 << 20
 #: Characters of one batch of documents that are worked on at once.
 SLICE_CHARS = 1 << 19
 UNKNOWN = "und"
@@ -184,7 +185,10 @@ def train(df: DataFrame, learns: Column, id_col: str = "doc_id", text_col: str =
     _store.prepare(df.sparkSession)
     rows = df.select(_store.id_of(id_col).alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"), learns.alias("learns"))
     rows = rows.where(F.col("learns") & F.col("text").isNotNull() & F.col("lang").isNotNull())
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+    most = MODEL_BYTES // (4 << BITS)
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).limit(most + 1).collect()
+    if len(counts) > most:
+        raise ValueError("the model of so many languages is too large to broadcast")
     if not counts:
         return Model([], np.zeros((1 << BITS, 0)), np.zeros(0))
     languages = sorted(r.lang for r in counts)
@@ -225,7 +229,7 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """
     spark = df.sparkSession
     _store.prepare(spark)
-    if model.weights.nbytes > 64 << 20:
+    if model.weights.nbytes > MODEL_BYTES:
         raise ValueError("the model is too large to broadcast")
     shared = spark.sparkContext.broadcast(model)
     names = list(dict.fromkeys([id_col, *carry]))

@@ -157,6 +157,18 @@ def test_redaction(spark):
     assert {r.doc_id: r.text for r in out.collect()} == {1: 'x [SECRET]" y', 2: "clean", 3: None}
 
 
+def test_every_language_is_learnt(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    names = [f"l{k:02}" for k in range(70)]
+    rows = [(10 * k + i, f"{chr(0x4E00 + k)} " * 9, n) for k, n in enumerate(names) for i in range(1 + (k < 64))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(2)
+    assert language_id.train(df, F.lit(True)).languages == names
+    monkeypatch.setattr(language_id, "MODEL_BYTES", 69 * (4 << language_id.BITS))
+    with pytest.raises(ValueError):
+        language_id.train(df, F.lit(True))
+
+
 def test_languages_on_held_out_rows(spark):
     rows = queries.op8_language_id(spark, "/root/testdata/sf0.01").collect()
     lang = {r.doc_id: r.lang for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
