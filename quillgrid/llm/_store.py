@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 #: Rows in one Arrow batch. Texts can be long, so batches stay small.
 BATCH_ROWS = 256
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Rows without a doc_id are ordered after all others.
 NO_ID = 2**63 - 1
 
@@ -27,7 +28,7 @@ def prepare(spark: SparkSession) -> None:
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set(ARROW_ROWS, str(BATCH_ROWS))
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -60,8 +61,8 @@ def drop_written() -> None:
             continue
 
 
-def keep(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back.
+def keep(df: DataFrame, name: str, rows: int = BATCH_ROWS) -> DataFrame:
+    """Write df to the shared folder and read it back; its Python steps get so many rows in an Arrow batch.
 
     This cuts the lineage: what follows survives the loss of any executor. The
     shuffle files behind it are then of no use; a collection lets Spark's cleaner
@@ -69,7 +70,11 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quillgrid-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    spark.conf.set(ARROW_ROWS, str(rows))
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(ARROW_ROWS, str(BATCH_ROWS))
     _written.append((spark, path))
     gc.collect()
     spark.sparkContext._jvm.System.gc()

@@ -1,10 +1,12 @@
 """Substring dedup: Rabin-Karp hashes of every window of words, counted in Spark.
 
-A window is hashed in full only where it may repeat. Each window has an anchor,
-the least hash among its shorter runs of words; equal windows have equal
-anchors, so a window whose anchor occurs in one text only cannot occur in
-another. Anchors are a small part of all windows, and the rest follows for those
-that are left: every window's 128-bit hash is counted over all documents.
+A window is counted only where it may repeat. Each window has an anchor, the
+least hash among its shorter runs of words; equal windows have equal anchors, so
+a window whose anchor occurs in one text only cannot occur in another. Anchors
+are a small part of all windows, and the rest follows for those that are left:
+two Rabin-Karp hashes of every window, modulo the prime 2 ** 61 - 1 with
+independent bases over independently seeded words, are counted over all
+documents.
 """
 
 from __future__ import annotations
@@ -20,7 +22,6 @@ from pyspark.sql import functions as F
 from quillgrid.llm import _kernel, _store
 
 WINDOW = 50
-_B0, _B1 = _kernel.BASES
 
 
 def _anchors(hashes: np.ndarray, row: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -28,9 +29,7 @@ def _anchors(hashes: np.ndarray, row: np.ndarray, width: int) -> tuple[np.ndarra
     if len(row) < width:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
     short = max(1, width // 2)
-    sums = _kernel.rolling(hashes, _B0)
-    at = np.arange(len(row) - short + 1)
-    runs = _kernel.mix(_kernel.spans(sums, at, at + short, _B0))
+    runs = _kernel.mix(_kernel.run_sums(hashes, short))
     least = _kernel.sliding_min(runs, width - short + 1)
     whole = np.flatnonzero(row[: len(row) - width + 1] == row[width - 1 :])
     return whole, least[whole]
@@ -42,7 +41,7 @@ def _joined(words: list[bytes], keep: np.ndarray | None = None) -> str:
 
 
 def survey(df: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(id, t1, t2, n_words, sha256 of the words, anchors) of each row; t1 and t2 hash the text."""
+    """(id, t1, t2, n_words, sha256 of the words, anchors) of each row; t1 and t2 hash the text from two seeds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -67,7 +66,7 @@ def survey(df: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
 
 def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = _store.text_of(text_col)
-    return df.select(F.coalesce(_store.id_of(id_col), F.lit(_store.NO_ID)).alias("id"), F.xxhash64(text).alias("t1"), F.xxhash64(text, F.lit(1)).alias("t2"), text.alias("text"))
+    return df.select(F.coalesce(_store.id_of(id_col), F.lit(_store.NO_ID)).alias("id"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2"), text.alias("text"))
 
 
 def _window_hashes(joined: DataFrame, width: int) -> DataFrame:
@@ -83,8 +82,7 @@ def _window_hashes(joined: DataFrame, width: int) -> DataFrame:
                 at, anchor = _anchors(hashes, words.row, width)
                 hit = np.isin(anchor, np.asarray(wanted.slice(a, b - a).flatten()).view(np.uint64))
                 at = at[hit]
-                one = _kernel.spans(_kernel.rolling(hashes, _B0), at, at + width, _B0)
-                two = _kernel.spans(_kernel.rolling(words.hashes(_B1), _B1), at, at + width, _B1)
+                one, two = (_kernel.rabin_karp(words.hashes(seed), width, base)[at] if len(at) else np.zeros(0, dtype=np.uint64) for seed, base in zip(_kernel.SEEDS, _kernel.BASES, strict=True))
                 cut = np.searchsorted(words.row[at], np.arange(b - a + 1))
                 place = at - words.first[words.row[at]]
                 lists += [(place[s:e], one[s:e].view(np.int64), two[s:e].view(np.int64)) for s, e in zip(cut[:-1], cut[1:], strict=True)]

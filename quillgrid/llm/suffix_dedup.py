@@ -29,12 +29,13 @@ LENGTH = 100
 RUN = 24
 #: Bytes whose suffixes are sorted at once (one anchor's surroundings can be more).
 PIECE = 1 << 19
-#: Texts with an anchor from which on it is dealt to several tasks.
+#: Places of an anchor from which on it is dealt to several tasks.
 HOT = 2_048
+#: Strings whose anchors are found at once, and the bits that hold a place among them.
+SEGMENT = 1 << 20
 
 _U = np.uint64
-_PLACE = _U((1 << 28) - 1)
-_B0, _B1 = _kernel.BASES
+_PLACE = _U((1 << 21) - 1)
 
 
 # The difference cover, in memory: characters are of eight bytes, so that the
@@ -137,60 +138,85 @@ def equal_groups(data: np.ndarray, starts: np.ndarray, length: int = LENGTH) ->
     return out
 
 
-def _anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, places, hashes): each string of length within one row, its anchor's position and hash."""
-    if len(data) < length:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=_U)
-    run = min(RUN, length)
-    sums = _kernel.rolling(_kernel._BYTE[data], _B0)
-    at = np.arange(len(data) - run + 1)
-    h = _kernel.mix(_kernel.spans(sums, at, at + run, _B0))
-    least = _kernel.sliding_min((h & ~_PLACE) | at.astype(_U), length - run + 1)
-    row = np.searchsorted(offsets, np.arange(len(data)), side="right") - 1
-    starts = np.flatnonzero(row[: len(data) - length + 1] == row[length - 1 :])
-    places = (least[starts] & _PLACE).astype(np.int64)
-    return starts, places, h[places]
+def _anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(begin, last, row, hash): each maximal run of strings, starting at begin to last, of one row and one anchor's place.
+
+    Strings are read in segments, so that a text's length sets no bound.
+    """
+    n = len(data) - length + 1
+    if n <= 0:
+        return (*(np.zeros(0, dtype=np.int64) for _ in range(3)), np.zeros(0, dtype=_U))
+    edge = np.zeros(len(data) + 1, dtype=np.int8)  # starts whose string would reach over the row's end
+    np.add.at(edge, np.maximum(offsets[1:] - length + 1, offsets[:-1]), 1)
+    np.add.at(edge, offsets[1:], -1)
+    inside = np.cumsum(edge[:n], dtype=np.int8) == 0
+    c = _kernel.eights(data)
+    firsts, lasts, places, hashes = [], [], [], []
+    for s in range(0, n, SEGMENT):
+        e = min(s + SEGMENT, n)
+        h = _kernel.run_hashes(c, slice(s, e + length - RUN), RUN)
+        least = _kernel.sliding_min((h & ~_PLACE) | np.arange(len(h), dtype=_U), length - RUN + 1)
+        place = (least & _PLACE).astype(np.int64)
+        ok = inside[s:e]
+        edge = np.ones(e - s + 1, dtype=bool)  # between a start and the one before
+        edge[1:-1] = (place[1:] != place[:-1]) | ~ok[1:] | ~ok[:-1]
+        first, last = np.flatnonzero(ok & edge[:-1]), np.flatnonzero(ok & edge[1:])
+        firsts.append(first + s)
+        lasts.append(last + s)
+        places.append(place[first] + s)
+        hashes.append(h[place[first]])
+    begin, last, place, h = (np.concatenate(x) for x in (firsts, lasts, places, hashes))
+    row = np.searchsorted(offsets, begin, side="right") - 1
+    fresh = np.ones(len(begin), dtype=bool)  # a run may go on in the next segment
+    fresh[1:] = (place[1:] != place[:-1]) | (begin[1:] != last[:-1] + 1) | (row[1:] != row[:-1])
+    at = np.flatnonzero(fresh)
+    return begin[at], last[np.append(at[1:], len(last)) - 1] if len(at) else last, row[at], h[at]
 
 
 def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = _store.text_of(text_col)
-    return df.select(F.coalesce(_store.id_of(id_col), F.lit(_store.NO_ID)).alias("id"), F.xxhash64(text).alias("t1"), F.xxhash64(text, F.lit(1)).alias("t2"), text.alias("text"))
+    return df.select(F.coalesce(_store.id_of(id_col), F.lit(_store.NO_ID)).alias("id"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2"), text.alias("text"))
 
 
 def survey(df: DataFrame, id_col: str, text_col: str, length: int) -> DataFrame:
-    """(id, t1, t2, n_bytes, sha, anchors, twice): the text's different anchors, and those at two places in it."""
+    """(id, t1, t2, n_bytes, sha, anchors, twice): the text's different anchors, and those at two places or more with their places' number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            count, sha, once, twice = [], [], [], []
+            count, sha, rows, names, times = [], [], [], [], []
             for a, b in _kernel.slices(batch.column(3)):
-                part = batch.column(3).slice(a, b - a)
-                data, offsets = _kernel.buffer_of(part)
-                starts, places, h = _anchors(data, offsets, length)
-                fresh = np.ones(len(places), dtype=bool)
-                fresh[1:] = places[1:] != places[:-1]
-                cut = np.searchsorted(places[fresh], offsets)
-                each = h[fresh].view(np.int64)
-                for s, e in zip(cut[:-1], cut[1:], strict=True):
-                    names, n = np.unique(each[s:e], return_counts=True)
-                    once.append(names)
-                    twice.append(names[n > 1])
+                data, offsets = _kernel.buffer_of(batch.column(3).slice(a, b - a))
+                _, _, row, h = _anchors(data, offsets, length)
+                order = np.lexsort((h, row))
+                row, h = row[order], h[order]
+                new = np.ones(len(h), dtype=bool)
+                new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
+                at = np.flatnonzero(new)
+                rows.append(row[at] + a)
+                names.append(h[at].view(np.int64))
+                times.append(np.diff(np.append(at, len(h))))
                 count += np.diff(offsets).tolist()
                 raw = data.tobytes()
                 sha += [hashlib.sha256(raw[s:e]).hexdigest() for s, e in zip(offsets[:-1], offsets[1:], strict=True)]
-            lists = [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in xs])]).astype(np.int32)), pa.array(np.concatenate(xs) if xs else np.zeros(0, dtype=np.int64))) for xs in (once, twice)]
+            rows, names, times = (np.concatenate([np.zeros(0, dtype=np.int64), *x]) for x in (rows, names, times))
+            cut = lambda r: pa.array(np.searchsorted(r, np.arange(batch.num_rows + 1)).astype(np.int32))
+            more = times > 1
+            again = pa.StructArray.from_arrays([pa.array(names[more]), pa.array(times[more])], ["anchor", "n"])
+            lists = [pa.ListArray.from_arrays(cut(rows), pa.array(names)), pa.ListArray.from_arrays(cut(rows[more]), again)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(count, pa.int64()), pa.array(sha, pa.string()), *lists], ["id", "t1", "t2", "n_bytes", "sha", "anchors", "twice"])
 
-    return _keyed(df, id_col, text_col).mapInArrow(run, "id long, t1 long, t2 long, n_bytes long, sha string, anchors array<long>, twice array<long>")
+    return _keyed(df, id_col, text_col).mapInArrow(run, "id long, t1 long, t2 long, n_bytes long, sha string, anchors array<long>, twice array<struct<anchor:bigint,n:bigint>>")
 
 
-SURROUNDINGS = "task long, hot boolean, id long, t1 long, start int, bytes binary"
+SURROUNDINGS = "task long, id long, t1 long, start int, end int, bytes binary"
 
 
 def _surroundings(joined: DataFrame, length: int) -> DataFrame:
     """A row for each wanted anchor's place: the bytes of all strings that have it as theirs, and where they start.
 
-    task names the anchor; a hot one (salts over 0) has so many tasks, dealt by document.
+    task names the anchor, in an odd number where it is hot (salts over 0) and
+    dealt to so many tasks. Bytes that a text has had before go without saying:
+    they are null, and end tells where they end.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,116 +224,148 @@ def _surroundings(joined: DataFrame, length: int) -> DataFrame:
             ids, t1, texts, wanted = batch.columns
             for a, b in _kernel.slices(texts):
                 data, offsets = _kernel.buffer_of(texts.slice(a, b - a))
-                starts, places, h = _anchors(data, offsets, length)
+                begin, last, row, h = _anchors(data, offsets, length)
                 items = wanted.slice(a, b - a).flatten()
-                names = np.asarray(items.field("anchor")).view(_U)
-                names, at = np.unique(names, return_index=True)
-                salts = np.asarray(items.field("salts"))[at]
+                names, at = np.unique(np.asarray(items.field("anchor")).view(_U), return_index=True)
+                salts = np.asarray(items.field("salts"))[at].astype(_U)
                 found = np.minimum(np.searchsorted(names, h), max(len(names) - 1, 0))
-                hit = names[found] == h if len(names) else np.zeros(len(h), dtype=bool)
-                starts, places, h, found = starts[hit], places[hit], h[hit], found[hit]
-                if not len(starts):
+                hit = np.flatnonzero(names[found] == h if len(names) else np.zeros(len(h), dtype=bool))
+                if not len(hit):
                     continue
-                fresh = np.ones(len(starts), dtype=bool)
-                fresh[1:] = (places[1:] != places[:-1]) | (starts[1:] != starts[:-1] + 1)
-                first = np.flatnonzero(fresh)
-                last = np.append(first[1:], len(starts)) - 1
+                begin, end, row, h, salt = begin[hit], last[hit] + length, row[hit], h[hit], salts[found[hit]]
                 raw = data.tobytes()
-                row = np.searchsorted(offsets, starts[first], side="right") - 1
-                pieces = [raw[s:e] for s, e in zip(starts[first].tolist(), (starts[last] + length).tolist(), strict=True)]
+                pieces: list[bytes | None] = [raw[s:e] for s, e in zip(begin.tolist(), end.tolist(), strict=True)]
+                order = np.lexsort((begin, h, row))  # an anchor's places in one text, by place
+                same = (row[order][1:] == row[order][:-1]) & (h[order][1:] == h[order][:-1])
+                had: set[bytes] = set()
+                for i, j, more in zip(order[:-1][same].tolist(), order[1:][same].tolist(), np.append(same, False)[1:][same].tolist(), strict=True):
+                    had.add(pieces[i] or b"")
+                    if pieces[j] in had:
+                        pieces[j] = None
+                    if not more:
+                        had = set()
+                copy = np.array([p is None for p in pieces])
+                dealt = _U(1) + _kernel.mix((begin - offsets[row]).astype(_U) ^ np.asarray(t1.slice(a, b - a)).view(_U)[row]) % np.maximum(salt, _U(1))
+                task = _kernel.mix(h + np.where(salt > 0, dealt, _U(0)) + np.where(copy, begin.astype(_U), _U(0)))
+                task = (task & ~_U(1)) | (salt > 0).astype(_U)
                 keys = [c.slice(a, b - a).take(pa.array(row)) for c in (ids, t1)]
-                salt = salts[found[first]]
-                dealt = 1 + _kernel.mix(np.asarray(keys[1]).view(_U)) % np.maximum(salt, 1).astype(_U)
-                task = _kernel.mix(h[first] + np.where(salt > 0, dealt, _U(0)))
-                yield pa.RecordBatch.from_arrays([pa.array(task.view(np.int64)), pa.array(salt > 0), *keys, pa.array((starts[first] - offsets[row]).astype(np.int32)), pa.array(pieces, pa.binary())], ["task", "hot", "id", "t1", "start", "bytes"])
+                place = [pa.array((x - offsets[row]).astype(np.int32)) for x in (begin, end)]
+                yield pa.RecordBatch.from_arrays([pa.array(task.view(np.int64)), *keys, *place, pa.array(pieces, pa.binary())], ["task", "id", "t1", "start", "end", "bytes"])
 
     return joined.mapInArrow(run, SURROUNDINGS)
 
 
-def _gone(rows: list[tuple], length: int) -> list[np.ndarray]:
-    """For each row (id, t1, start, bytes), in order of these: whether each of its strings occurs earlier."""
-    sizes = np.array([len(r[3]) for r in rows])
-    data = np.frombuffer(b"".join(r[3] for r in rows), dtype=np.uint8)
+def _gone(ids: np.ndarray, docs: np.ndarray, data: np.ndarray, sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, place, whether it occurs earlier) of each string of rows of so many bytes of data, which are in order of document and place."""
     base = np.cumsum(sizes) - sizes
     count = sizes - length + 1
-    of = np.repeat(np.arange(len(rows)), count)
+    of = np.repeat(np.arange(len(sizes)), count)
     inner = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    group = equal_groups(data, base[of] + inner, length)
-    # rows, and strings within them, are in order of document and place: only the groups are to be sorted
-    ids = np.array([r[0] for r in rows], dtype=np.int64)[of]
-    doc = np.cumsum([i > 0 and rows[i][:2] != rows[i - 1][:2] for i in range(len(rows))])[of]
-    order, g = _sorted(group.astype(_U))
+    order, g = _sorted(equal_groups(data, base[of] + inner, length).astype(_U))
     new = np.ones(len(g), dtype=bool)
     new[1:] = g[1:] != g[:-1]
-    least = ids[order][new][np.cumsum(new) - 1]
+    mine, doc = ids[of][order], docs[of][order]
     again = np.zeros(len(g), dtype=bool)
-    again[1:] = ~new[1:] & (doc[order][1:] == doc[order][:-1])
+    again[1:] = ~new[1:] & (doc[1:] == doc[:-1])
     out = np.empty(len(g), dtype=bool)
-    out[order] = (ids[order] > least) | again
-    return np.split(out, np.cumsum(count)[:-1])
-
-
-def _spans(gone: np.ndarray, start: int, length: int) -> list[tuple[int, int]]:
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
-    return [(start + int(s), start + int(e) - 1 + length) for s, e in zip(edge[::2], edge[1::2], strict=True)]
-
-
-def _sort(length: int, survivors: bool):
-    """Rows sorted by key and document to removed spans; with survivors, also 128-bit hashes of the strings that stay."""
-
-    def flush(rows: list[tuple]) -> pa.RecordBatch:
-        out, first, left = [], {}, []
-        for r in sorted(set(rows), key=lambda r: r[:3]):  # several anchors' rows, by document; repeated rows of a table once
-            known = first.setdefault(r[3], r)
-            if known[0] < r[0] or (known is not r and known[:2] == r[:2]):  # all its strings are in an earlier row
-                out.append((*r[:2], r[2], r[2] + len(r[3]), None, None))
-            else:
-                left.append(r)
-        for r, gone in zip(left, _gone(left, length), strict=True):
-            out += [(*r[:2], s, e, None, None) for s, e in _spans(gone, r[2], length)]
-            if survivors and not gone.all():
-                data = np.frombuffer(r[3], dtype=np.uint8)
-                at = np.flatnonzero(~gone)
-                h = [_kernel.spans(_kernel.rolling(_kernel._BYTE[data], base), at, at + length, base).view(np.int64).tolist() for base in (_B0, _B1)]
-                out += [(*r[:2], r[2] + p, r[2] + p + length, x, y) for p, x, y in zip(at.tolist(), *h, strict=True)]
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], k) for i, k in enumerate(kinds)], ["id", "t1", "s", "e", "h1", "h2"])
+    out[order] = (mine > mine[new][np.cumsum(new) - 1]) | again
+    return of, inner, out
+
+
+def _settled(rows: pa.Table, length: int) -> pa.RecordBatch:
+    """Whole anchors' surroundings to removed spans; of hot ones also the strings that stay, by two hashes of 64 bits."""
+    copies = rows.filter(rows["bytes"].is_null())
+    rows = rows.filter(rows["bytes"].is_valid()).combine_chunks()
+    task, ids, t1, start, end = (rows[c].to_numpy() for c in ("task", "id", "t1", "start", "end"))
+    raw = rows["bytes"].combine_chunks() if rows.num_rows else pa.array([], pa.binary())
+    raw = raw.chunk(0) if isinstance(raw, pa.ChunkedArray) else raw
+    code = raw.dictionary_encode().indices.to_numpy()
+    order = np.lexsort((code, start, t1, ids))
+    fresh = np.ones(len(order), dtype=bool)  # a table's repeated rows count once
+    fresh[1:] = np.any([x[order][1:] != x[order][:-1] for x in (ids, t1, start, code)], axis=0)
+    order = order[fresh]
+    first = np.zeros(int(code.max(initial=-1)) + 1, dtype=np.int64)
+    first[code[order][::-1]] = order[::-1]
+    known = first[code[order]]
+    whole = (ids[known] < ids[order]) | ((known != order) & (ids[known] == ids[order]) & (t1[known] == t1[order]))  # all its strings are in an earlier row
+    gone, left = order[whole], order[~whole]
+    cols = [[copies["id"].to_numpy(), ids[gone]], [copies["t1"].to_numpy(), t1[gone]], [copies["start"].to_numpy(), start[gone]], [copies["end"].to_numpy(), end[gone]]]
+    stay = np.zeros(0, dtype=np.int64)
+    one = two = np.zeros(0, dtype=_U)
+    if len(left):
+        data = np.frombuffer(b"".join(raw.take(pa.array(left)).to_pylist()), dtype=np.uint8)
+        mine, t, at = ids[left], t1[left], start[left].astype(np.int64)
+        docs = np.cumsum(np.append(False, (mine[1:] != mine[:-1]) | (t[1:] != t[:-1])))
+        sizes = (end[left] - start[left]).astype(np.int64)
+        of, inner, out = _gone(mine, docs, data, sizes, length)
+        edge = np.append(True, of[1:] != of[:-1])
+        begin = np.flatnonzero(out & (edge | ~np.append(False, out[:-1])))
+        last = np.flatnonzero(out & (np.append(edge[1:], True) | ~np.append(out[1:], False)))
+        row = of[begin]
+        for col, more in zip(cols, (mine[row], t[row], at[row] + inner[begin], at[row] + inner[last] + length), strict=True):
+            col.append(more)
+        stay = np.flatnonzero(~out & ((task[left] & 1) == 1)[of])
+        row = of[stay]
+        c = _kernel.eights(data)
+        one, two = (_kernel.run_hashes(c, (np.cumsum(sizes) - sizes)[row] + inner[stay], length, seed) for seed in _kernel.SEEDS)
+        for col, more in zip(cols, (mine[row], t[row], at[row] + inner[stay], at[row] + inner[stay] + length), strict=True):
+            col.append(more)
+    arrays = [pa.array(np.concatenate(c), k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)]
+    hashes = [pa.concat_arrays([pa.nulls(len(arrays[0]) - len(stay), pa.int64()), pa.array(h.view(np.int64))]) for h in (one, two)]
+    return pa.RecordBatch.from_arrays([*arrays, *hashes], ["id", "t1", "s", "e", "h1", "h2"])
+
+
+def _sort(length: int):
+    """Rows sorted by task, some tasks' at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, size, now = [], 0, None
+        held: list[pa.RecordBatch] = []
+        size = 0
         for batch in batches:
-            for key, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if key != now:
-                    if size > PIECE:
-                        yield flush(rows)
-                        rows, size = [], 0
-                    now = key
-                rows.append(tuple(row))
-                size += len(row[3])
-        if rows:
-            yield flush(rows)
+            held.append(batch)
+            size += batch.nbytes
+            if size > PIECE:
+                rows = pa.Table.from_batches(held)
+                task = rows["task"].to_numpy()
+                cut = int(np.searchsorted(task, task[-1]))  # the last task may go on
+                if cut:
+                    yield _settled(rows.slice(0, cut), length)
+                    held = rows.slice(cut).combine_chunks().to_batches()
+                    size = sum(b.nbytes for b in held)
+        if held:
+            yield _settled(pa.Table.from_batches(held), length)
 
     return run
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            raw, kept, at, runs, removed = text.encode("utf-8"), [], 0, [], 0
-            for x in sorted(spans, key=lambda x: (x["s"], x["e"])):
-                if runs and x["s"] <= runs[-1][1]:
-                    runs[-1][1] = max(runs[-1][1], x["e"])
-                else:
-                    runs.append([x["s"], x["e"]])
-            for s, e in runs:
-                kept.append(raw[at:s])
-                removed += e - s
-                at = e
-            left = b"".join([*kept, raw[at:]])
-            out.append((len(raw), removed, len(runs), hashlib.sha256(left).hexdigest(), left, [{"start": s, "end": e} for s, e in runs]))
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
-        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([x[i] for x in out], k) for i, k in enumerate(kinds))], ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans"])
+def _cut(with_bytes: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = _kernel.buffer_of(batch.column(1))
+            gone = batch.column(2)
+            items = gone.flatten()
+            s, e = (np.asarray(items.field(k)).astype(np.int64) for k in ("s", "e"))
+            row = np.repeat(np.arange(batch.num_rows), np.asarray(gone.value_lengths()))
+            s, e = s + offsets[row], e + offsets[row]  # rows don't touch: a removed run ends within its own
+            order = np.lexsort((s, row))
+            s, e, row = s[order], np.maximum.accumulate(e[order]) if len(e) else e, row[order]
+            new = np.ones(len(s), dtype=bool)
+            new[1:] = (s[1:] > e[:-1]) | (row[1:] != row[:-1])
+            at = np.flatnonzero(new)
+            s, e, row = s[at], e[np.append(at[1:], len(e)) - 1] if len(at) else e, row[at]
+            cut = np.searchsorted(row, np.arange(batch.num_rows + 1))
+            raw, out, kept = data.tobytes(), [], []
+            for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
+                starts, ends = s[cut[i] : cut[i + 1]].tolist(), e[cut[i] : cut[i + 1]].tolist()
+                left = b"".join([raw[x:y] for x, y in zip([a, *ends], [*starts, b], strict=True)])
+                out.append((b - a, b - a - len(left), len(starts), hashlib.sha256(left).hexdigest()))
+                kept.append(left if with_bytes else None)
+            spans = pa.StructArray.from_arrays([pa.array(x - offsets[row]) for x in (s, e)], ["start", "end"])
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
+            cols = [pa.array([x[i] for x in out], k) for i, k in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *cols, pa.array(kept, pa.binary()), pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), spans)], ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans"])
+
+    return run
 
 
 def dedup_bytes(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", with_bytes: bool = False) -> DataFrame:
@@ -331,35 +389,29 @@ def dedup_bytes(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", tex
     # anchors in two texts or twice in one; of equal texts only the first is looked at
     own = first.where(f"id = first and n_bytes >= {length}").select(*key, F.xxhash64("id", "t1").alias("doc")).distinct()
     anchors = docs.where(f"n_bytes >= {length}").select(F.xxhash64("id", "t1").alias("doc"), "t1", F.explode("anchors").alias("anchor"))
-    inner = docs.select("t1", F.explode("twice").alias("anchor"))
-    rows = anchors.select("anchor", "t1").unionByName(inner.select("anchor", (-F.col("t1") - 1).alias("t1")))
-    many = rows.groupBy("anchor").agg(F.min("t1").alias("lo"), F.max("t1").alias("hi"), F.count("*").alias("n")).where("lo != hi")
+    inner = docs.select("t1", F.explode("twice").alias("x")).select(F.col("x.anchor").alias("anchor"), (-F.col("t1") - 1).alias("t1"), F.col("x.n").alias("n"))
+    rows = anchors.select("anchor", "t1", F.lit(1).cast("long").alias("n")).unionByName(inner)
+    many = rows.groupBy("anchor").agg(F.min("t1").alias("lo"), F.max("t1").alias("hi"), F.sum("n").alias("n")).where("lo != hi")
     many = many.select("anchor", F.when(F.col("n") >= HOT, F.ceil(F.col("n") / HOT)).otherwise(0).cast("int").alias("salts"))
     many = _store.keep(many, "suffix-anchors")
     wanted = anchors.select("doc", "anchor").join(many, "anchor").groupBy("doc").agg(F.collect_list(F.struct("anchor", "salts")).alias("wanted"))
     wanted = _store.keep(wanted.join(own, "doc").select(*key, "wanted"), "suffix-wanted")
     texts = _keyed(df, id_col, text_col).select(*key, "text").join(wanted.hint("shuffle_hash"), key)
     found = _store.keep(texts.select(*key, "text", "wanted"), "suffix-texts")
-    around = _surroundings(found, length)
-    parts = _store.partitions(spark)
-    schema = "id long, t1 long, s int, e int, h1 long, h2 long"
-
-    def sorted_rows(rows: DataFrame, survivors: bool) -> DataFrame:
-        rows = rows.select("task", *key, "start", "bytes").repartition(4 * parts, "task").sortWithinPartitions("task")
-        return rows.mapInArrow(_sort(length, survivors), schema)
-
-    spans = sorted_rows(around.where("not hot"), False)
-    if many.where("salts > 0").limit(1).count():
-        rough = _store.keep(sorted_rows(around.where("hot"), True), "suffix-hot")
-        stay = rough.where("h1 is not null")
-        least = stay.groupBy("h1", "h2").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
-        least = _store.keep(least, "suffix-least")
-        late = stay.join(least, ["h1", "h2"]).where("id > least").select(*stay.columns)
-        spans = spans.unionByName(rough.where("h1 is null")).unionByName(late)
+    around = _surroundings(found, length).repartition(4 * _store.partitions(spark), "task").sortWithinPartitions("task")
+    settled = _store.keep(around.mapInArrow(_sort(length), "id long, t1 long, s int, e int, h1 long, h2 long"), "suffix-spans", rows=1_024)
+    spans = settled.where("h1 is null").select(*key, "s", "e")
+    if many.where("salts > 0").limit(1).count():  # strings of a hot anchor that stay in their own tasks meet over all of them
+        stay = settled.where("h1 is not null")
+        place = ["h1", "h2", *key]
+        mine = stay.groupBy(*place).agg(F.min("s").alias("s0"))
+        least = mine.groupBy("h1", "h2").agg(F.min("id").alias("least"))
+        late = stay.join(mine, place).join(_store.keep(least, "suffix-least"), ["h1", "h2"]).where("id > least or s > s0")
+        spans = spans.unionByName(late.select(*key, "s", "e"))
     gone = spans.groupBy(*key).agg(F.collect_list(F.struct("s", "e")).alias("gone"))
     gone = _store.keep(gone, "suffix-gone")
     kind = "array<struct<start:bigint,end:bigint>>"
-    cut = found.select(*key, "text").join(gone.hint("shuffle_hash"), key).select("id", "text", "gone").mapInArrow(_cut, f"id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, spans {kind}")
+    cut = found.select(*key, "text").join(gone.hint("shuffle_hash"), key).select("id", "text", "gone").mapInArrow(_cut(with_bytes), f"id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, spans {kind}")
     whole = (F.col("id") > F.col("first")) & (F.col("n_bytes") >= length)  # a later copy
     rest = first.join(gone.select(*key), key, "left_anti").select(
         "id",
