@@ -101,3 +101,14 @@ def id_of(name: str = "doc_id") -> Column:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def with_first(docs: DataFrame) -> DataFrame:
+    """docs (id, t1, t2, a table) with first, the least id of each text.
+
+    Only texts that are repeated are joined, by a join of two plain shuffles,
+    which Spark can split where one text is very many rows.
+    """
+    copies = docs.groupBy("t1", "t2").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    out = docs.join(keep(copies, "copies"), ["t1", "t2"], "left")
+    return out.withColumn("first", F.coalesce("first", "id"))

@@ -127,8 +127,7 @@ def dedup_substrings(df: DataFrame, width: int = WINDOW, id_col: str = "doc_id",
     spark = df.sparkSession
     _store.prepare(spark)
     docs = _store.keep(survey(df, id_col, text_col, width), "windows-survey")
-    first = docs.groupBy("t1", "t2").agg(F.min("id").alias("first"))
-    first = _store.keep(first.join(docs.select("id", "t1", "t2", "n_words", "sha"), ["t1", "t2"]), "windows-first")
+    first = _store.keep(_store.with_first(docs.select("id", "t1", "t2", "n_words", "sha")), "windows-first")
     # anchors in two texts at least; of equal texts only the first is looked at
     own = first.where("id = first and n_words >= %d" % width).select("id", "t1", "t2").distinct()
     anchors = docs.where("n_words >= %d" % width).select("id", "t1", "t2", F.explode("anchors").alias("anchor"))

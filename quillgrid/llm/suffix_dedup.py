@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillgrid.llm import _kernel, _store
@@ -384,8 +384,7 @@ def dedup_bytes(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", tex
     _store.prepare(spark)
     key = ["id", "t1"]
     docs = _store.keep(survey(df, id_col, text_col, length), "suffix-survey")
-    first = docs.groupBy("t1", "t2").agg(F.min("id").alias("first"))
-    first = _store.keep(first.join(docs.select(*key, "t2", "n_bytes", "sha"), ["t1", "t2"]), "suffix-first")
+    first = _store.keep(_store.with_first(docs.select(*key, "t2", "n_bytes", "sha")), "suffix-first")
     # anchors in two texts or twice in one; of equal texts only the first is looked at
     own = first.where(f"id = first and n_bytes >= {length}").select(*key, F.xxhash64("id", "t1").alias("doc")).distinct()
     anchors = docs.where(f"n_bytes >= {length}").select(F.xxhash64("id", "t1").alias("doc"), "t1", F.explode("anchors").alias("anchor"))
@@ -403,11 +402,12 @@ def dedup_bytes(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", tex
     spans = settled.where("h1 is null").select(*key, "s", "e")
     if many.where("salts > 0").limit(1).count():  # strings of a hot anchor that stay in their own tasks meet over all of them
         stay = settled.where("h1 is not null")
-        place = ["h1", "h2", *key]
-        mine = stay.groupBy(*place).agg(F.min("s").alias("s0"))
-        least = mine.groupBy("h1", "h2").agg(F.min("id").alias("least"))
-        late = stay.join(mine, place).join(_store.keep(least, "suffix-least"), ["h1", "h2"]).where("id > least or s > s0")
-        spans = spans.unionByName(late.select(*key, "s", "e"))
+        met = stay.groupBy("h1", "h2").agg(F.min(F.struct("id", "t1", "s")).alias("f"), F.count("*").alias("n")).where("n > 1").select("h1", "h2", "f")
+        met = stay.join(_store.keep(met, "suffix-least"), ["h1", "h2"])
+        other = met.where("id = f.id and t1 != f.t1")  # a text of the same id as the first: only its own strings count
+        other = other.withColumn("k", F.row_number().over(Window.partitionBy("h1", "h2", *key).orderBy("s"))).where("k > 1")
+        late = met.where("id > f.id or t1 = f.t1 and s > f.s").select(*key, "s", "e").unionByName(other.select(*key, "s", "e"))
+        spans = spans.unionByName(late)
     gone = spans.groupBy(*key).agg(F.collect_list(F.struct("s", "e")).alias("gone"))
     gone = _store.keep(gone, "suffix-gone")
     kind = "array<struct<start:bigint,end:bigint>>"
