@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import gc
 import os
 import tempfile
 import uuid
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +33,26 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set(ARROW_ROWS, str(BATCH_ROWS))
 
 
+def rest() -> None:
+    """At the end of a task in a Python worker, which Spark uses again: give freed memory back to the machine."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def resting(run):
+    """run, a step over Arrow batches, with rest() behind the last one."""
+
+    def whole(batches):
+        yield from run(batches)
+        rest()
+
+    return whole
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the cluster names in spark.checkpoint.dir.
 
@@ -95,6 +117,11 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))
 
 
+def text_keys(name: str = "text") -> dict[str, Column]:
+    """t1 and t2, hashes of the text from two seeds: they tell texts apart."""
+    return {"t1": F.xxhash64(text_of(name)), "t2": F.xxhash64(F.lit(1), text_of(name))}
+
+
 def id_of(name: str = "doc_id") -> Column:
     return F.col(f"`{name}`").cast("long")
 

@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillgrid.llm import _store
@@ -167,7 +167,7 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(seen[at], total), pa.int64())], ["feature", "n"])
 
-    found = texts.mapInArrow(count, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect()  # at most 2 ** BITS + 1 rows
+    found = texts.mapInArrow(_store.resting(count), "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect()  # at most 2 ** BITS + 1 rows
     out = np.zeros(1 << BITS)
     for r in found:
         if r.feature >= 0:
@@ -220,6 +220,28 @@ def train(df: DataFrame, learns: Column, id_col: str = "doc_id", text_col: str =
     return model
 
 
+def shared_model(spark: SparkSession, model: Model):
+    """The model as a broadcast of checked size."""
+    if model.weights.nbytes > MODEL_BYTES:
+        raise ValueError("the model is too large to broadcast")
+    return spark.sparkContext.broadcast(model)
+
+
+def score_of(spark: SparkSession, model: Model, text: Column) -> Column:
+    """The probability of the likeliest language of a text; 0 where it is null or has no letter.
+
+    Only the text goes to Python: whatever else a row has stays in the JVM.
+    """
+    _store.prepare(spark)
+    shared = shared_model(spark, model)
+
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array(shared.value.predict(texts.to_pylist())[1], pa.float64())
+
+    return score(text.cast("string"))
+
+
 def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per row of df: the id, the columns in carry, lang_pred, score (calibrated probability, 0 to 1).
 
@@ -229,9 +251,7 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """
     spark = df.sparkSession
     _store.prepare(spark)
-    if model.weights.nbytes > MODEL_BYTES:
-        raise ValueError("the model is too large to broadcast")
-    shared = spark.sparkContext.broadcast(model)
+    shared = shared_model(spark, model)
     names = list(dict.fromkeys([id_col, *carry]))
     if clash := {"lang_pred", "score"} & set(names):
         raise ValueError(f"carried columns have the names of results: {sorted(clash)}")
@@ -245,4 +265,4 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*names, "lang_pred", "score"])
 
     kinds = ", ".join(f"`{n}` {narrow.schema[n].dataType.simpleString()}" for n in names)
-    return narrow.mapInArrow(run, f"{kinds}, lang_pred string, score double")
+    return narrow.mapInArrow(_store.resting(run), f"{kinds}, lang_pred string, score double")

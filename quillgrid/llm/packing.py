@@ -16,9 +16,8 @@ from __future__ import annotations
 
 import json
 import zlib
-from array import array
 from bisect import bisect_left, insort
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,101 +25,68 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillgrid.llm import _store
+from quillgrid.llm import _store, _word_ids
 
 SEQUENCE = 1024
 END_ID = 2
-#: Chunks whose ids a worker remembers, at most (about 200 bytes each); then it starts anew.
-CACHE_CHUNKS = 1_000_000
-#: One in so many new chunks is also encoded by the tokenizers library and must agree.
-PROBE = 256
 #: Runs of a plan that are broadcast, at most (about 32 bytes each).
 MAX_RUNS = 1 << 21
 
 
-def _byte_letters() -> dict[str, int]:
-    """The letters that byte-level vocabularies write bytes with: printable ones stand for themselves, others from 256 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 class ChunkTokenizer:
-    """Ids of a byte-level BPE of the tokenizers library, a chunk between spaces at a time.
+    """Ids of a byte-level BPE of the tokenizers library, a chunk between blanks at a time.
 
     A blank belongs to the word after it, so a text falls into chunks that start
-    with a blank, and no token reaches from one into the next. Only runs of white
-    space around a blank and the file's added tokens are read across chunks; such
-    texts are encoded whole.
-
-    New chunks are encoded from the same vocabulary file by tiktoken, which needs a
-    fifth of the time, where the vocabulary is in the order of its merges; the
-    tokenizers library does what is encoded whole, and holds a part of the rest
-    against its own ids. Other vocabularies are left to it altogether.
+    with a blank, and no token reaches from one into the next; each different
+    chunk of a batch is encoded once. Only runs of white space around a blank and the file's
+    added tokens are read across chunks; such texts are encoded whole, as are all
+    texts of a vocabulary whose text rule is another.
     """
 
     _spaces = [chr(c) for c in range(0x3001) if chr(c).isspace()]
 
     def __init__(self, path: str):
+        _word_ids.bounded_threads()
         from tokenizers import Tokenizer
 
         self.backend = Tokenizer.from_file(path)
         self.added = [t.content for t in self.backend.get_added_tokens_decoder().values()]
-        self.whole = bool(self.added) and self.backend.normalizer is not None  # added tokens may be matched in normalized text
-        self.cache: dict[str, bytes] = {}
-        self.seen = 0
-        self.fast = self._same_vocabulary(path)
-
-    @staticmethod
-    def _same_vocabulary(path: str):
-        """tiktoken's encoder of the vocabulary; None where its ids aren't the order of its merges, or its text rule is another."""
         with open(path, encoding="utf-8") as f:
             data = json.load(f)
-        model, before, letters = data["model"], data.get("pre_tokenizer") or {}, _byte_letters()
-        if model.get("type", "BPE") != "BPE" or data.get("normalizer") or before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex", True):
-            return None
-        special = {t["content"] for t in data.get("added_tokens", [])}
-        ranks = {bytes(letters[c] for c in t): i for t, i in model["vocab"].items() if t not in special}
-        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-        if [model["vocab"].get(a + b) for a, b in merges] != list(range(256, 256 + len(merges))) or len(ranks) != 256 + len(merges):
-            return None
-        import tiktoken
-
-        # Fixed value: the text rule of byte-level vocabularies.
-        rule = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-        return tiktoken.Encoding("own", pat_str=rule, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.backend.encode_batch_fast(texts, add_special_tokens=False)]
+        before = data.get("pre_tokenizer") or {}
+        self.whole = bool(data.get("normalizer")) or before.get("type") != "ByteLevel" or before.get("add_prefix_space", True) or not before.get("use_regex", True)
+        vocabulary = self.backend.get_vocab()
+        self.leads = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.leads[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True  # how byte-level vocabularies write a blank
+
+        self.memory = _word_ids.Memory()
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.backend.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _across(self, text: str) -> bool:
         """Whether white space or an added token may be read over a chunk's end."""
         return self.whole or "  " in text or any(f"{s} " in text for s in self._spaces) or any(t in text for t in self.added)
 
-    def _learn(self, new: list[str]) -> None:
-        """Put the chunks, each after its blank, into the cache."""
-        if self.fast is None:
-            self.cache.update(zip(new, self._encode([f" {c}" for c in new]), strict=True))
-            return
-        fast = self.fast
-        self.cache.update((c, array("I", fast(f" {c}")).tobytes()) for c in new)
-        probe = new[-self.seen % PROBE :: PROBE]
-        self.seen += len(new)
-        if [self.cache[c] for c in probe] != self._encode([f" {c}" for c in probe]):
-            raise ValueError("the two libraries disagree on this vocabulary")
-
     def batch(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, each as four little-endian bytes."""
-        cut = [None if self._across(t) else t.split(" ") for t in texts]
-        words = [c[1:] for c in cut if c]
-        new = set().union(*words).difference(self.cache)
-        if len(self.cache) + len(new) > CACHE_CHUNKS:
-            self.cache.clear()
-            new = set().union(*words)
-        self._learn(list(new))
-        get = self.cache.__getitem__
-        odd = iter(self._encode([t if c is None else c[0] for t, c in zip(texts, cut, strict=True)]))
-        return [next(odd) if c is None else b"".join([next(odd), *map(get, c[1:])]) for c in cut]
+        odd = [self._across(t) for t in texts]
+        parts, cut = _word_ids.split(pa.array([t for t, o in zip(texts, odd, strict=True) if not o], pa.large_string()))
+        head = np.zeros(len(parts), dtype=bool)
+        head[cut[:-1]] = True
+        coded = parts.filter(pa.array(~head)).dictionary_encode()
+        place = self.memory.of(coded.dictionary, lambda new: _word_ids.learn(new, self._encode, self.leads))
+        flat, count = self.memory.flat, self.memory.count
+        alone = self._encode(parts.filter(pa.array(head)).to_pylist())  # the first word of each text, which no blank precedes
+        numbers = np.empty(len(parts), dtype=np.int64)
+        numbers[~head] = place[coded.indices.to_numpy()] if len(place) else 0
+        numbers[head] = len(count) + np.arange(len(alone))
+        flat = np.concatenate([flat, np.array([i for x in alone for i in x], dtype=np.uint32)])
+        flat, begin = _word_ids.gather(flat, np.concatenate([count, np.array([len(x) for x in alone], dtype=np.int64)]), numbers)
+        raw, bounds = flat.astype("<u4").tobytes(), (4 * begin[cut]).tolist()
+        plain = (raw[s:e] for s, e in zip(bounds, bounds[1:], strict=False))
+        whole = iter(self._encode([t for t, o in zip(texts, odd, strict=True) if o]))
+        return [np.array(next(whole), dtype="<u4").tobytes() if o else next(plain) for o in odd]
 
     def ids(self, text: str) -> bytes:
         return self.batch([text])[0]
@@ -130,40 +96,31 @@ _tokenizers: dict[str, ChunkTokenizer] = {}
 
 
 def tokenizer(path: str) -> ChunkTokenizer:
-    """One for each process, so that its cache lasts over batches and tasks."""
+    """One for each process."""
     if path not in _tokenizers:
         _tokenizers[path] = ChunkTokenizer(path)
     return _tokenizers[path]
 
 
-def _in_slices(texts: list[str], encode: Callable[[list[str]], list[bytes]], chars: int = 1 << 19) -> Iterator[bytes]:
-    """The ids of the texts, some of bounded length at once."""
-    at = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= chars or i == len(texts) - 1:
-            yield from encode(texts[at : i + 1])
-            at, size = i + 1, 0
-
-
 def cut_pieces(df: DataFrame, vocabulary: str, length: int = SEQUENCE, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, piece, start, length, ids_crc32): each document's ids and the end id, cut from the end into full pieces."""
     _store.prepare(df.sparkSession)
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(vocabulary).batch
-        for batch in batches:
+        tool = tokenizer(vocabulary)
+        for batch in _word_ids.units(batches, 1):
             rows: list[tuple[int, int, int, int, int]] = []
-            for doc, ids in zip(batch.column(0).to_pylist(), _in_slices(batch.column(1).to_pylist(), encode), strict=True):
+            for doc, ids in zip(batch.column(0).to_pylist(), tool.batch(batch.column(1).to_pylist()), strict=True):
                 ids += end
                 n = len(ids) // 4
                 cuts = [0, *range(n % length or length, n + 1, length)]
                 rows += [(doc, k, s, e - s, zlib.crc32(ids[4 * s : 4 * e])) for k, (s, e) in enumerate(zip(cuts, cuts[1:], strict=False))]
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["id", "piece", "start", "length", "ids_crc32"])
+        tool.memory.clear()
 
-    return df.select(_store.id_of(id_col).alias("id"), _store.text_of(text_col).alias("text")).mapInArrow(run, "id long, piece int, start long, length long, ids_crc32 long")
+    return df.select(_store.id_of(id_col).alias("id"), _store.text_of(text_col).alias("text")).mapInArrow(_store.resting(run), "id long, piece int, start long, length long, ids_crc32 long")
 
 
 @dataclass(frozen=True)
@@ -257,7 +214,7 @@ def pack(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
     names = [c for c in pieces.columns if c != "rank"]
     ranked = ranked.select(*names, "rank")
     kinds = ", ".join(f"`{c}` {pieces.schema[c].dataType.simpleString()}" for c in names)
-    return ranked.mapInArrow(run, f"{kinds}, sequence_id long, offset long")
+    return ranked.mapInArrow(_store.resting(run), f"{kinds}, sequence_id long, offset long")
 
 
 def pack_documents(df: DataFrame, vocabulary: str, size: int = SEQUENCE, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

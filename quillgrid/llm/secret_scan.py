@@ -22,6 +22,9 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 LEAST = {"assign": 12, "access": 18, "hex": 16}
 
+#: Whatever holds a span of any kind holds this: an assignment sign, the access mark, or a hex run.
+NEEDED = "[:=<]|AKIA|[0-9a-f]{%d}" % LEAST["hex"]
+
 #: Weights of the parts of a target's name; from SCORE_LEAST with the literal's own score on, it is a secret.
 NAME_PARTS = {"password": 3, "passwd": 3, "passphrase": 3, "pwd": 3, "pass": 2, "secret": 3, "token": 2, "apikey": 3, "credential": 3, "credentials": 3, "auth": 1, "bearer": 2, "private": 1, "access": 1, "api": 1, "key": 2, "dsn": 1, "signing": 1, "encryption": 1}
 SCORE_LEAST = 5
@@ -182,7 +185,7 @@ def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kind)], [id_col, "spans"])
 
-    return narrow.mapInArrow(run, f"`{id_col}` {narrow.schema[id_col].dataType.simpleString()}, spans array<struct<kind:string,start:bigint,end:bigint>>")
+    return narrow.mapInArrow(_store.resting(run), f"`{id_col}` {narrow.schema[id_col].dataType.simpleString()}, spans array<struct<kind:string,start:bigint,end:bigint>>")
 
 
 def redact(text: str, mark: str = "[SECRET]", hexes: bool = True) -> str:
@@ -198,18 +201,19 @@ def redact(text: str, mark: str = "[SECRET]", hexes: bool = True) -> str:
 def redact_documents(df: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """df with every found span of its texts replaced by the mark, all columns kept in their order.
 
-    Null and clean texts stay as they are.
+    Null and clean texts stay as they are; so do repeated rows and other columns,
+    whatever their names. A text without a sign that every kind of span needs
+    stays in the JVM, and of others only the text goes to Python.
     """
     _store.prepare(df.sparkSession)
-    narrow = df.withColumn(text_col, F.col(f"`{text_col}`").cast("string"))
-    at = narrow.columns.index(text_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hexes = _hex_rows(batch.column(at))
-            texts = [t if t is None else redact(t, mark, h) for t, h in zip(batch.column(at).to_pylist(), hexes, strict=True)]
-            cols = batch.columns
-            cols[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(cols, batch.schema.names)
+    @F.arrow_udf("string")
+    def cleaned(texts: pa.Array) -> pa.Array:
+        out: list[str | None] = []
+        for a, b in _kernel.slices(texts):
+            part = texts.slice(a, b - a)
+            out += [t if t is None else redact(t, mark, h) for t, h in zip(part.to_pylist(), _hex_rows(part), strict=True)]
+        return pa.array(out, pa.string())
 
-    return narrow.mapInArrow(run, narrow.schema)
+    text = F.col(f"`{text_col}`").cast("string")
+    return df.withColumn(text_col, F.coalesce(cleaned(F.when(text.rlike(NEEDED), text)), text))

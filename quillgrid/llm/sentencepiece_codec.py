@@ -7,7 +7,6 @@ The model's protobuf is parsed here; normaliser, metaspace marker, piece scores
 from __future__ import annotations
 
 import hashlib
-import os
 import re
 import struct
 from collections.abc import Iterator
@@ -18,11 +17,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillgrid.llm import _store
+from quillgrid.llm import _store, _word_ids
 
 MARK = "▁"
-#: Chunks whose ids a worker remembers, at most; then it starts anew.
-CACHE_CHUNKS = 300_000
+#: Flags of a chunk: the SentencePiece library gives the same ids; they decode to the chunk.
+SAME, BACK = 1, 2
 
 # Fixed values of the model format: kinds of model and of piece.
 UNIGRAM, BPE = 1, 2
@@ -96,7 +95,7 @@ class Codec:
     """Encodes and decodes as the SentencePiece model at path does."""
 
     def __init__(self, path: str, verify: bool = True):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
+        _word_ids.bounded_threads()
         from tokenizers import Tokenizer, models, normalizers
 
         m = self.model = Model.read(path)
@@ -116,14 +115,12 @@ class Codec:
         self.bytes = [bytes([int(p[3:5], 16)]) if kind == BYTE else b"" if kind == CONTROL else p.replace(MARK, " ").encode("utf-8") for p, _, kind in m.pieces]
         if unknown is not None:
             self.bytes[unknown] = " ⁇ ".encode()
-        self.cache: dict[str, bytes] = {}
-        self.wrong: set[str] = set()
+        self.leads = np.array([p.startswith(MARK) for p, _, _ in m.pieces])
         self.judge = None
         if verify:
             import sentencepiece
 
             self.judge = sentencepiece.SentencePieceProcessor(model_file=path)
-            self.offset = 0
 
     def normalise(self, text: str) -> str:
         """With blanks, not marks; the dummy prefix included."""
@@ -135,45 +132,57 @@ class Codec:
             text = re.sub(" +", " ", text).strip(" ")
         return " " + text if text and self.model.dummy_prefix else text
 
-    def _new(self, chunks: list[str]) -> None:
-        """Encode chunks in one multithreaded batch; hold each against the SentencePiece library."""
-        marked = [c.replace(" ", MARK) for c in chunks]
-        ids = [e.ids for e in self.backend.encode_batch_fast(marked, add_special_tokens=False)]
-        if self.judge is not None:
-            lead = int(self.model.dummy_prefix)
-            plain = [c[lead:] if c.startswith(" ") else c for c in chunks]
-            same = [c.startswith(" ") or not lead for c in chunks]
-            for chunk, mine, theirs, fair in zip(chunks, ids, self.judge.encode(plain), same, strict=True):
-                if fair and mine != theirs and chunk != " ":  # a lone blank can't be asked for: the library gives an empty text no prefix
-                    self.wrong.add(chunk)
-        if len(self.cache) > CACHE_CHUNKS:
-            self.cache.clear()
-        self.cache.update((c, np.array(i, dtype="<u4").tobytes()) for c, i in zip(chunks, ids, strict=True))
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        """Ids of normalised texts, in one multithreaded batch."""
+        return [e.ids for e in self.backend.encode_batch_fast([t.replace(" ", MARK) for t in texts], add_special_tokens=False)]
 
-    def chunks(self, text: str) -> list[str]:
-        text = self.normalise(text)
-        if not text:
-            return []
-        if not self.chunked:
-            return [text]
-        if text[0] != " " or "  " in text or text[-1] == " ":
-            return re.findall(" +[^ ]*|[^ ]+", text)
-        return [f" {c}" for c in text[1:].split(" ")]
+    def _flags(self, texts: list[str], ids: list[list[int]]) -> list[int]:
+        """Flags of normalised texts, held against the SentencePiece library."""
+        lead = int(self.model.dummy_prefix)
+        theirs = ids if self.judge is None else self.judge.encode([t[lead:] for t in texts])
+        out = []
+        for text, mine, other in zip(texts, ids, theirs, strict=True):
+            # a text without the prefix or a lone blank can't be asked for: the library gives an empty text no prefix
+            fair = text.startswith(" ") and text != " " if lead else True
+            out.append(SAME * (not fair or mine == other) + BACK * (b"".join(map(self.bytes.__getitem__, mine)) == text.encode("utf-8")))
+        return out
 
-    def encode(self, texts: list[str]) -> list[tuple[bytes, bool]]:
-        """(ids as little-endian 32-bit numbers, whether every chunk agrees with the SentencePiece library)."""
-        cut = [self.chunks(t) for t in texts]
-        new = set().union(*cut).difference(self.cache) if cut else set()
+    def chunks(self, text: str) -> list[str]:
+        """A normalised text's chunks, which no token reaches over."""
+        return re.findall(" +[^ ]*|[^ ]+", text) if self.chunked else [text] if text else []
+
+    def checked(self, texts: list[str]) -> list[tuple[bytes, bool, bool]]:
+        """(ids as little-endian 32-bit numbers, whether every chunk agrees with the SentencePiece library, whether decoding gives the text again)."""
+        normal = [self.normalise(t) for t in texts]
+        plain = [self.chunked and t.startswith(" ") and t[-1] != " " and "  " not in t for t in normal]  # a blank before each word and no more
+        parts, cut = _word_ids.split(pa.array([t[1:] for t, p in zip(normal, plain, strict=True) if p], pa.large_string()))
+        coded = parts.dictionary_encode()
+        flat, count, flags = _word_ids.learn(coded.dictionary, self._ids, self.leads, self._flags, SAME | BACK)
+        odd = [self.chunks(t) for t, p in zip(normal, plain, strict=True) if not p]
+        more = list(dict.fromkeys(c for chunks in odd for c in chunks))
+        ids, place = self._ids(more), {c: len(count) + i for i, c in enumerate(more)}
+        numbers = np.concatenate([coded.indices.to_numpy(), np.array([place[c] for chunks in odd for c in chunks], dtype=np.int64)])
+        count = np.concatenate([count, np.array([len(x) for x in ids], dtype=np.int64)])
+        flags = np.concatenate([flags, np.array(self._flags(more, ids), dtype=np.uint8)])[numbers]
+        flat, begin = _word_ids.gather(np.concatenate([flat, np.array([i for x in ids for i in x], dtype=np.uint32)]), count, numbers)
+        bounds = np.concatenate([cut, cut[-1] + np.cumsum([len(c) for c in odd], dtype=np.int64)])
+        lacks = np.concatenate([[0], np.cumsum(flags & SAME == 0)]), np.concatenate([[0], np.cumsum(flags & BACK == 0)])
+        all_flags = SAME * (np.diff(lacks[0][bounds]) == 0) + BACK * (np.diff(lacks[1][bounds]) == 0)
+        raw, at = flat.astype("<u4").tobytes(), (4 * begin[bounds]).tolist()
+        found = list(zip((raw[s:e] for s, e in zip(at, at[1:], strict=False)), all_flags.tolist(), strict=True))
+        regular, rest = iter(found[: len(cut) - 1]), iter(found[len(cut) - 1 :])
         out = []
-        if new:
-            if len(self.cache) + len(new) > CACHE_CHUNKS:
-                self.cache.clear()
-                new = set().union(*cut)
-            self._new(sorted(new))
-        for parts in cut:
-            out.append((b"".join(map(self.cache.__getitem__, parts)), not self.wrong or self.wrong.isdisjoint(parts)))
+        lead = int(self.model.dummy_prefix)
+        for text, made, p in zip(texts, normal, plain, strict=True):
+            ids, flag = next(regular if p else rest)
+            back = text == (made[lead:] if made.startswith(" ") else made) if flag & BACK else self.decode(np.frombuffer(ids, dtype="<u4")) == text
+            out.append((ids, bool(flag & SAME), back))
         return out
 
+    def encode(self, texts: list[str]) -> list[tuple[bytes, bool]]:
+        """(ids, parity) of checked()."""
+        return [x[:2] for x in self.checked(texts)]
+
     def decode(self, ids: np.ndarray) -> str:
         text = b"".join(map(self.bytes.__getitem__, ids.tolist())).decode("utf-8", "replace")
         return text[1:] if self.model.dummy_prefix and text.startswith(" ") else text
@@ -183,29 +192,12 @@ _codecs: dict[str, Codec] = {}
 
 
 def codec(path: str) -> Codec:
-    """One for each process, so that its cache lasts over batches and tasks."""
+    """One for each process."""
     if path not in _codecs:
         _codecs[path] = Codec(path)
     return _codecs[path]
 
 
-#: Characters of the texts that are encoded in one batch.
-SLICE_CHARS = 1 << 19
-
-
-def _slices(texts: list[str]) -> Iterator[list[str]]:
-    part: list[str] = []
-    size = 0
-    for t in texts:
-        part.append(t)
-        size += len(t)
-        if size >= SLICE_CHARS:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
-
-
 def encode_documents(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of df: id, ids (array), parity, round_trip.
 
@@ -217,17 +209,13 @@ def encode_documents(df: DataFrame, model: str, id_col: str = "doc_id", text_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = codec(model)
-        for batch in batches:
-            at = 0
-            for texts in _slices(batch.column(1).to_pylist()):
-                found = tool.encode(texts)
-                ids = [np.frombuffer(x, dtype="<u4").astype(np.int32) for x, _ in found]
-                back = [tool.decode(i) == t for i, t in zip(ids, texts, strict=True)]
-                offsets = pa.array(np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids))), pa.array([p for _, p in found], pa.bool_()), pa.array(back, pa.bool_())], ["id", "ids", "parity", "round_trip"])
-                at += len(texts)
+        for batch in _word_ids.units(batches, 1):
+            found = tool.checked(batch.column(1).to_pylist())
+            ids = [np.frombuffer(x[0], dtype="<u4").astype(np.int32) for x in found]
+            offsets = pa.array(np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids))), *(pa.array([x[k] for x in found], pa.bool_()) for k in (1, 2))], ["id", "ids", "parity", "round_trip"])
 
-    return df.select(_store.id_of(id_col).alias("id"), _store.text_of(text_col).alias("text")).mapInArrow(run, "id long, ids array<int>, parity boolean, round_trip boolean").withColumnRenamed("id", id_col)
+    return df.select(_store.id_of(id_col).alias("id"), _store.text_of(text_col).alias("text")).mapInArrow(_store.resting(run), "id long, ids array<int>, parity boolean, round_trip boolean").withColumnRenamed("id", id_col)
 
 
 def digest_documents(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -236,15 +224,12 @@ def digest_documents(df: DataFrame, model: str, id_col: str = "doc_id", text_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = codec(model)
-        for batch in batches:
-            rows = []
-            for texts in _slices(batch.column(1).to_pylist()):
-                for text, (ids, same) in zip(texts, tool.encode(texts), strict=True):
-                    rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), same, tool.decode(np.frombuffer(ids, dtype="<u4")) == text))
+        for batch in _word_ids.units(batches, 1):
+            rows = [(len(ids) // 4, hashlib.sha256(ids).hexdigest(), same, back) for ids, same, back in tool.checked(batch.column(1).to_pylist())]
             kinds = (pa.int64(), pa.string(), pa.bool_(), pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds))], ["id", "n_tokens", "ids_sha256", "parity", "round_trip"])
 
-    return df.select(_store.id_of(id_col).alias("id"), _store.text_of(text_col).alias("text")).mapInArrow(run, "id long, n_tokens long, ids_sha256 string, parity boolean, round_trip boolean").withColumnRenamed("id", id_col)
+    return df.select(_store.id_of(id_col).alias("id"), _store.text_of(text_col).alias("text")).mapInArrow(_store.resting(run), "id long, n_tokens long, ids_sha256 string, parity boolean, round_trip boolean").withColumnRenamed("id", id_col)
 
 
 def decode_documents(df: DataFrame, model: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -257,4 +242,4 @@ def decode_documents(df: DataFrame, model: str, id_col: str = "doc_id", ids_col:
             texts = [tool.decode(np.array(x or [], dtype=np.int64)) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["id", "text"])
 
-    return df.select(_store.id_of(id_col).alias("id"), F.col(f"`{ids_col}`").cast("array<int>").alias("ids")).mapInArrow(run, "id long, text string").withColumnRenamed("id", id_col)
+    return df.select(_store.id_of(id_col).alias("id"), F.col(f"`{ids_col}`").cast("array<int>").alias("ids")).mapInArrow(_store.resting(run), "id long, text string").withColumnRenamed("id", id_col)

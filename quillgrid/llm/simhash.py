@@ -65,7 +65,7 @@ def fingerprint_documents(df: DataFrame, id_col: str = "doc_id", text_col: str =
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fingerprints(batch.column(1), width, seed).view(np.int64))], ["id", "fp"])
 
-    return df.select(_store.id_of(id_col).alias("id"), _store.text_of(text_col).alias("text")).mapInArrow(run, "id long, fp long")
+    return df.select(_store.id_of(id_col).alias("id"), _store.text_of(text_col).alias("text")).mapInArrow(_store.resting(run), "id long, fp long")
 
 
 def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -172,7 +172,7 @@ def near_links(prints: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_RO
                 a, b = compare(x, None, radius) if side == 1 else compare(held[1], x, radius)
                 yield pa.RecordBatch.from_arrays([pa.array(v.view(np.int64)) for v in (a, b)], ["a", "b"])
 
-    return near.mapInArrow(run, "a long, b long")
+    return near.mapInArrow(_store.resting(run), "a long, b long")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, radius: int = RADIUS, seed: int = SEED) -> DataFrame:

@@ -175,7 +175,7 @@ def fingerprint_documents(df: DataFrame, chain: int = CHAIN, distance: int = DIS
             ]
             yield pa.RecordBatch.from_arrays(cols, [id_col, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(_store.resting(run), schema)
 
 
 def _links(sets: list[np.ndarray], split: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -219,7 +219,7 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, chain: int = CH
             sets = signatures(batch.column(1), chain, distance)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int32())], ["id", "sigs", "n"])
 
-    docs = df.select(_store.id_of(id_col).alias("id"), _store.text_of(text_col).alias("text")).mapInArrow(run, "id long, sigs binary, n int")
+    docs = df.select(_store.id_of(id_col).alias("id"), _store.text_of(text_col).alias("text")).mapInArrow(_store.resting(run), "id long, sigs binary, n int")
     docs = _store.keep(docs.withColumn("key", F.xxhash64("sigs")), "spotsigs")
     nodes = docs.groupBy("key").agg(F.min("id").alias("first"), F.first("sigs").alias("sigs"), F.first("n").alias("n"))
     nodes = nodes.withColumn("band", F.when(F.col("n") > 0, F.floor(F.log(F.greatest(F.col("n"), F.lit(1))) / F.lit(-math.log(threshold)))).otherwise(-2).cast("int"))
@@ -252,7 +252,7 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, chain: int = CH
         if keys:
             yield end()
 
-    roots = connected_components(pairs.mapInArrow(join, "a long, b long"))
+    roots = connected_components(pairs.mapInArrow(_store.resting(join), "a long, b long"))
     named = nodes.select("key", "first").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     named = _store.keep(named, "spotsigs-roots")
     of = named.join(named.groupBy("root").agg(F.min("first").alias("class_id")), "root").select("key", "class_id")

@@ -61,7 +61,7 @@ def survey(df: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
             values = np.concatenate(lists) if lists else np.zeros(0, dtype=np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(count, pa.int64()), pa.array(sha, pa.string()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], ["id", "t1", "t2", "n_words", "sha", "anchors"])
 
-    return _keyed(df, id_col, text_col).mapInArrow(run, "id long, t1 long, t2 long, n_words long, sha string, anchors array<long>")
+    return _keyed(df, id_col, text_col).mapInArrow(_store.resting(run), "id long, t1 long, t2 long, n_words long, sha string, anchors array<long>")
 
 
 def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -90,7 +90,7 @@ def _window_hashes(joined: DataFrame, width: int) -> DataFrame:
             cols = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([x[i] for x in lists]) if lists else np.zeros(0), kind)) for i, kind in enumerate((pa.int32(), pa.int64(), pa.int64()))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], *cols], ["id", "t1", "t2", "text", "at", "h1", "h2"])
 
-    return joined.mapInArrow(run, "id long, t1 long, t2 long, text string, at array<int>, h1 array<long>, h2 array<long>")
+    return joined.mapInArrow(_store.resting(run), "id long, t1 long, t2 long, text string, at array<int>, h1 array<long>, h2 array<long>")
 
 
 def _cut(width: int):
@@ -144,7 +144,7 @@ def dedup_substrings(df: DataFrame, width: int = WINDOW, id_col: str = "doc_id",
     gone = rows.join(least, ["h1", "h2"]).where("id > least").groupBy("id", "t1", "t2").agg(F.collect_set("at").alias("gone"))
     gone = _store.keep(gone, "windows-gone")
     key = ["id", "t1", "t2"]
-    cut = found.select(*key, "text").join(gone.hint("shuffle_hash"), key).select("id", "text", "gone", "t1", "t2").mapInArrow(_cut(width), "id long, t1 long, t2 long, n_words long, n_removed long, sha string, kept string, bounds array<long>")
+    cut = found.select(*key, "text").join(gone.hint("shuffle_hash"), key).select("id", "text", "gone", "t1", "t2").mapInArrow(_store.resting(_cut(width)), "id long, t1 long, t2 long, n_words long, n_removed long, sha string, kept string, bounds array<long>")
     pairs = F.transform(F.sequence(F.lit(0), F.size("bounds") - 2, F.lit(2)), lambda i: F.struct(F.get("bounds", i).alias("start"), F.get("bounds", i + 1).alias("end")))
     cut = cut.select("id", "n_words", "n_removed", F.col("sha").alias("kept_sha256"), pairs.alias("spans"), *([F.col("kept").alias("kept_text"), "t1", "t2"] if with_text else []))
     whole = F.col("id") > F.col("first")

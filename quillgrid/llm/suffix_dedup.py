@@ -205,7 +205,7 @@ def survey(df: DataFrame, id_col: str, text_col: str, length: int) -> DataFrame:
             lists = [pa.ListArray.from_arrays(cut(rows), pa.array(names)), pa.ListArray.from_arrays(cut(rows[more]), again)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(count, pa.int64()), pa.array(sha, pa.string()), *lists], ["id", "t1", "t2", "n_bytes", "sha", "anchors", "twice"])
 
-    return _keyed(df, id_col, text_col).mapInArrow(run, "id long, t1 long, t2 long, n_bytes long, sha string, anchors array<long>, twice array<struct<anchor:bigint,n:bigint>>")
+    return _keyed(df, id_col, text_col).mapInArrow(_store.resting(run), "id long, t1 long, t2 long, n_bytes long, sha string, anchors array<long>, twice array<struct<anchor:bigint,n:bigint>>")
 
 
 SURROUNDINGS = "task long, id long, t1 long, start int, end int, bytes binary"
@@ -252,7 +252,7 @@ def _surroundings(joined: DataFrame, length: int) -> DataFrame:
                 place = [pa.array((x - offsets[row]).astype(np.int32)) for x in (begin, end)]
                 yield pa.RecordBatch.from_arrays([pa.array(task.view(np.int64)), *keys, *place, pa.array(pieces, pa.binary())], ["task", "id", "t1", "start", "end", "bytes"])
 
-    return joined.mapInArrow(run, SURROUNDINGS)
+    return joined.mapInArrow(_store.resting(run), SURROUNDINGS)
 
 
 def _gone(ids: np.ndarray, docs: np.ndarray, data: np.ndarray, sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -398,7 +398,7 @@ def dedup_bytes(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", tex
     texts = _keyed(df, id_col, text_col).select(*key, "text").join(wanted.hint("shuffle_hash"), key)
     found = _store.keep(texts.select(*key, "text", "wanted"), "suffix-texts")
     around = _surroundings(found, length).repartition(4 * _store.partitions(spark), "task").sortWithinPartitions("task")
-    settled = _store.keep(around.mapInArrow(_sort(length), "id long, t1 long, s int, e int, h1 long, h2 long"), "suffix-spans", rows=1_024)
+    settled = _store.keep(around.mapInArrow(_store.resting(_sort(length)), "id long, t1 long, s int, e int, h1 long, h2 long"), "suffix-spans", rows=1_024)
     spans = settled.where("h1 is null").select(*key, "s", "e")
     if many.where("salts > 0").limit(1).count():  # strings of a hot anchor that stay in their own tasks meet over all of them
         stay = settled.where("h1 is not null")
@@ -411,7 +411,7 @@ def dedup_bytes(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", tex
     gone = spans.groupBy(*key).agg(F.collect_list(F.struct("s", "e")).alias("gone"))
     gone = _store.keep(gone, "suffix-gone")
     kind = "array<struct<start:bigint,end:bigint>>"
-    cut = found.select(*key, "text").join(gone.hint("shuffle_hash"), key).select("id", "text", "gone").mapInArrow(_cut(with_bytes), f"id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, spans {kind}")
+    cut = found.select(*key, "text").join(gone.hint("shuffle_hash"), key).select("id", "text", "gone").mapInArrow(_store.resting(_cut(with_bytes)), f"id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, spans {kind}")
     whole = (F.col("id") > F.col("first")) & (F.col("n_bytes") >= length)  # a later copy
     rest = first.join(gone.select(*key), key, "left_anti").select(
         "id",

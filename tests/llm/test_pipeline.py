@@ -7,7 +7,7 @@ import corpus_pipeline
 from quillgrid.llm import language_id, queries, secret_scan
 
 from ..conftest import SMALL
-from .test_dedup import groups, slow_print
+from .test_dedup import groups
 from .test_text import slow_pieces
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -37,14 +37,23 @@ def as_rows(df):
     return sorted((r.asDict() for r in df.collect()), key=lambda r: r["doc_id"])
 
 
+def shingles(text, width=5):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set()
+
+
+def alike(x, y):
+    return len(x & y) >= 0.8 * len(x | y)
+
+
 def test_stages_against_brute_force(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     rows = as_rows(docs)
     model = language_id.train(docs, ~queries.held_out())
     langs, scores = model.predict([r["text"] for r in rows])
     kept = [r for r, x, s in zip(rows, langs, scores, strict=True) if x != "und" and s >= corpus_pipeline.LEAST_SCORE]
-    prints = [slow_print(r["text"]) for r in kept]
-    roots = groups(len(kept), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 4)
+    sets = [shingles(r["text"]) for r in kept]
+    roots = groups(len(kept), lambda a, b: alike(sets[a], sets[b]))
     unique = [r for i, r in enumerate(kept) if roots[i] == i]
     cut = slow_substrings(unique)
     red = []
@@ -64,14 +73,37 @@ def test_stages_against_brute_force(spark):
     assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in whole) == Counter(pieces)
 
 
-def test_stages_of_odd_and_no_rows(spark, odd, nothing):
-    for df in (odd, nothing):
+CLASHES = "row id t1 t2 kept_text score lang_pred root n best component_id key __text".split()
+
+
+def test_stages_of_odd_and_no_rows(spark, odd_rows):
+    """Extra columns of any name keep their values; repeated rows stay where the stage says so."""
+    from pyspark.sql import functions as F
+
+    table = spark.createDataFrame([(i, t, None if t is None else "en", None, None if t is None else len(t)) for i, t in odd_rows], "doc_id long, text string, lang string, source string, n_chars long")
+    table = table.select("*", *(F.concat(F.lit(f"{c}-"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(c) for c in CLASHES)).repartition(3).checkpoint()
+    for df in (table, table.where("false")):
         at = df
-        for name, stage in corpus_pipeline.STAGES:
-            at = stage(spark, at, SMALL).checkpoint()
-            if name != corpus_pipeline.STAGES[-1][0]:
-                assert at.columns == df.columns
-                assert at.count() <= df.count()
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            before, at = at, stage(spark, at, SMALL).checkpoint()
+            assert at.columns == df.columns, name
+            rows = at.collect()
+            for r in rows:
+                assert all(r[c] == f"{c}-{'none' if r.doc_id is None else r.doc_id}" for c in CLASHES), name
+            had = Counter(r.doc_id for r in before.collect())
+            assert not Counter(r.doc_id for r in rows) - had, name
+            if name == "secret_scan":
+                assert Counter(r.doc_id for r in rows) == had
+        assert corpus_pipeline.STAGES[-1][1](spark, at, SMALL).count() >= at.count()
+
+
+def test_one_of_each_group_stays(spark):
+    from .conftest import frame
+
+    base = " ".join(f"w{k}" for k in range(120))
+    rows = [(2, base), (4, base + " more"), (4, "other text here"), (4, "other text here"), (None, "lone words of no id"), (None, "lone words of no id"), (None, base), (9, None), (8, "")]
+    got = corpus_pipeline.near_duplicate_stage(spark, frame(spark, rows), SMALL).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter([(2, base), (4, "other text here"), (None, "lone words of no id"), (8, "")])
 
 
 def test_near_copies_and_repeated_ids(spark):

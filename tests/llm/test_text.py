@@ -7,6 +7,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quillgrid.llm import language_id, packing, quality_rules, queries, secret_scan, sentencepiece_codec, url_filter
@@ -255,10 +256,34 @@ def test_chunked_ids_are_the_librarys_ids():
     for letters in ("ab1 \n", "a \t\n.é'", " \n a ", "xy  \n's ", "a\u00a0 \u2003b", "<|endoftext|> "):
         for _ in range(400):
             s = "".join(r.choice(letters) for _ in range(r.randint(0, 14)))
-            if "<|endoftext|>" not in s:
-                assert mine.ids(s) == np.array(tk.encode(s, add_special_tokens=False).ids, dtype="<u4").tobytes(), repr(s)
-    mine.fast, mine.cache = None, {}
-    assert mine.ids("plain words again") == packing.ChunkTokenizer(BPE).ids("plain words again")
+            assert mine.ids(s) == np.array(tk.encode(s, add_special_tokens=False).ids, dtype="<u4").tobytes(), repr(s)
+
+
+def test_ids_of_batches_and_other_vocabularies():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    r = random.Random(8)
+    words = [f"w{k}" for k in range(300)] + ["é\u00a0x", "a\nb", "\nc", "d\n", "", "\t", "don't", "漢字", "x" * 500, "\u0120"]
+    texts = [" ".join(r.choice(words) for _ in range(r.randint(0, 600))) for _ in range(60)] + ["", " ", "  ", "<|endoftext|> a b", " lead"]
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        path = public_tokenizers.path(name)
+        want = [np.array(e.ids, dtype="<u4").tobytes() for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+        mine = packing.ChunkTokenizer(path)
+        mine.memory.limit = 200  # met again and again
+        assert mine.batch(texts) == want
+        assert [mine.ids(t) for t in texts] == want
+
+
+def test_units_keep_rows_in_order():
+    from quillgrid.llm import _word_ids
+
+    r = random.Random(1)
+    rows = [(i, None if r.random() < 0.1 else "x" * r.choice((0, 5, 900_000, 9_000_000))) for i in range(40)]
+    batches = [pa.RecordBatch.from_pydict({"i": [x[0] for x in rows[a : a + 7]], "t": [x[1] for x in rows[a : a + 7]]}) for a in range(0, 40, 7)]
+    got = list(_word_ids.units(iter(batches), 1))
+    assert [(i, t) for b in got for i, t in zip(b["i"].to_pylist(), b["t"].to_pylist(), strict=True)] == rows
+    assert all(b.num_rows == 1 or sum(len(t or "") for t in b["t"].to_pylist()) <= _word_ids.UNIT_BYTES for b in got)
 
 
 def test_added_tokens_are_the_librarys():
