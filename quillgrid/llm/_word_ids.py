@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,7 @@ import pyarrow.compute as pc
 #: Bytes of text whose words are encoded at once.
 UNIT_BYTES = 4 << 20
 #: Words that are encoded as one text.
-JOINED = 128
+JOINED = 512
 #: Words that a task remembers, at most (about 150 bytes each); then it starts anew.
 REMEMBERED = 600_000
 #: Threads of the tokenizers library in a worker, where the environment names no number.
@@ -56,6 +57,12 @@ def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return lists.flatten(), np.concatenate([[0], np.cumsum(np.asarray(lists.value_lengths(), dtype=np.int64))])
 
 
+def flattened(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """(all ids one after the other, how many each list has)."""
+    count = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+    return np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=int(count.sum())), count
+
+
 def gather(flat: np.ndarray, count: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(the ids of these words, where each word's begin, with the total at the end), of all words' ids and how many each has."""
     n = count[numbers]
@@ -76,7 +83,7 @@ def learn(words: pa.Array, encode: Callable[[list[str]], list[list[int]]], leads
     flags = judge(texts, found) if judge else [good] * len(texts)
     ids, count, out = [], [], []
     for one, flag, s, e in zip(found, flags, at[:-1].tolist(), at[1:].tolist(), strict=True):
-        each = np.array(one, dtype=np.uint32)
+        each = np.fromiter(one, dtype=np.uint32, count=len(one))
         first = np.flatnonzero(leads[each])
         if len(first) == e - s and flag == good and first[0] == 0:
             ids.append(each)
@@ -107,8 +114,7 @@ class Memory:
         if len(self.index) + len(words) > self.limit:
             self.clear()
         names = words.to_numpy(zero_copy_only=False).tolist()
-        known = self.index.get
-        out = np.array([known(w, -1) for w in names], dtype=np.int64)
+        out = np.fromiter(map(self.index.get, names, repeat(-1)), dtype=np.int64, count=len(names))
         new = np.flatnonzero(out < 0)
         if len(new):
             flat, count, _ = unknown(words.take(pa.array(new)))

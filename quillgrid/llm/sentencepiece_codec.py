@@ -161,10 +161,11 @@ class Codec:
         odd = [self.chunks(t) for t, p in zip(normal, plain, strict=True) if not p]
         more = list(dict.fromkeys(c for chunks in odd for c in chunks))
         ids, place = self._ids(more), {c: len(count) + i for i, c in enumerate(more)}
+        rest, many = _word_ids.flattened(ids)
         numbers = np.concatenate([coded.indices.to_numpy(), np.array([place[c] for chunks in odd for c in chunks], dtype=np.int64)])
-        count = np.concatenate([count, np.array([len(x) for x in ids], dtype=np.int64)])
+        count = np.concatenate([count, many])
         flags = np.concatenate([flags, np.array(self._flags(more, ids), dtype=np.uint8)])[numbers]
-        flat, begin = _word_ids.gather(np.concatenate([flat, np.array([i for x in ids for i in x], dtype=np.uint32)]), count, numbers)
+        flat, begin = _word_ids.gather(np.concatenate([flat, rest]), count, numbers)
         bounds = np.concatenate([cut, cut[-1] + np.cumsum([len(c) for c in odd], dtype=np.int64)])
         lacks = np.concatenate([[0], np.cumsum(flags & SAME == 0)]), np.concatenate([[0], np.cumsum(flags & BACK == 0)])
         all_flags = SAME * (np.diff(lacks[0][bounds]) == 0) + BACK * (np.diff(lacks[1][bounds]) == 0)

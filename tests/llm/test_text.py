@@ -275,6 +275,27 @@ def test_ids_of_batches_and_other_vocabularies():
         assert [mine.ids(t) for t in texts] == want
 
 
+def test_plain_words_have_the_librarys_ids():
+    """Every plain character after, before and between others, and mixtures of all kinds."""
+    import re
+
+    from tokenizers import Tokenizer
+
+    tk, mine, r = Tokenizer.from_file(BPE), packing.ChunkTokenizer(BPE), random.Random(6)
+    assert mine.fast is not None
+    letters = [c for c in map(chr, range(33, 0x250)) if re.match(packing.PLAIN, c)]
+    words = [a + c + b for c in letters for a in ("", "x", "9", "'", "é") for b in ("", "s", "7", "-", "Ž")]
+    words += [a + b for a in letters[:94] for b in letters[:94]]
+    words += ["".join(r.choices(letters if k % 2 else letters[:94], k=r.randint(1, 20))) for k in range(20_000)]
+    words += [f"{w}{e}" for w in ("don", "I", "we", "DON") for e in ("'t", "'T", "'ll", "'ve", "'re", "'m", "'d", "'s", "''s")]
+    texts = [" ".join(words[i : i + 100]) for i in range(0, len(words), 100)]
+    want = [np.array(e.ids, dtype="<u4").tobytes() for e in tk.encode_batch(texts, add_special_tokens=False)]
+    assert mine.batch(texts) == want and mine.fast is not None
+    mine.memory.clear()
+    mine.fast = lambda text: [1]
+    assert mine.batch(texts) == want and mine.fast is None
+
+
 def test_units_keep_rows_in_order():
     from quillgrid.llm import _word_ids
 
