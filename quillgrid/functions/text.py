@@ -137,8 +137,9 @@ def tidy_dimension(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, r"\s+", ""), r"^(\d+'-?\d+)'$", '$1"')
 
 
-SIZE_TITLE = r"""^\s*(\d+\s*'\s*-?\s*\d*\s*["']?)\s*[xX]\s*(\d+\s*'\s*-?\s*\d*\s*["']?)\s*(.*)$"""
-CALL_TITLE = r"^\s*(?:(?i:PAIR)\s+)?(\d)(\d)(\d)(\d)\b\s*(.*)$"
+# Titles of items. A size is found anywhere in the text, a nominal call at its start and with a kind after it.
+SIZE_TITLE = r"""(\d+\s*'\s*-?\s*\d*\s*["']?)\s*[xX×]\s*(\d+\s*'\s*-?\s*\d*\s*["']?)\s*(.*)$"""
+CALL_TITLE = r"^(?i:PAIR\s+)?(\d)(\d)(\d)(\d)\s+(.+)$"
 
 
 def parse_title(text: Column) -> Column:
@@ -154,8 +155,9 @@ def parse_title(text: Column) -> Column:
     )
 
 
-BULLETS = "[•·▪◦*-]"
-KEY_VALUE = r"^[A-Z][A-Z /]{1,24}:\s*\S"
+# Bullets, and lines of a key and its value.
+BULLETS = "[·•▪‣●■*]"
+KEY_VALUE = r"^[A-Z][A-Z .]{2,16}:\s*\S"
 
 
 def bullet_depth(text: Column) -> Column:
@@ -180,13 +182,14 @@ def is_header_row(cells: Column) -> Column:
     return (F.size(filled) >= 2) & (F.size(header_hits(tokens)) >= F.greatest(F.lit(2.0), F.size(filled) * 0.4))
 
 
-MARK_LIKE = r"^[A-Z]{0,2}-?\d{0,3}[A-Z]?$"
-DIMENSION_LIKE = r"""\d\s*['"]|^\s*\d{1,2}\s*/\s*\d{1,2}\s*$"""
+# Marks, and whatever reads as a dimension.
+MARK_LIKE = r"(?i)^[A-Z]{0,3}[-.]?\d{0,4}[A-Z]?$"
+DIMENSION_LIKE = r"""(?i)\d+\s*'\s*-?\s*\d*\s*"?|\d+\s*-\s*\d+|^\d{3,4}$|\bVARIES\b"""
 
 
 def is_data_row(cells: Column) -> Column:
     """A short mark among the first two filled cells, or any dimension."""
-    filled = F.filter(F.transform(cells, F.trim), lambda c: c != "")
+    filled = F.filter(F.transform(cells, lambda c: F.trim(c)), lambda c: c != "")
     mark = F.exists(F.slice(filled, 1, 2), lambda c: (F.length(c) <= 5) & c.rlike(MARK_LIKE))
     return mark | F.exists(filled, lambda c: c.rlike(DIMENSION_LIKE))
 
@@ -215,7 +218,7 @@ def recover_size(cells: Column, role: Column) -> Column:
     """struct(width, height): the first two foot-marked tokens of an array of (name, value), where no size column is known."""
     skip = F.array_compact(F.array(*(F.try_element_at(role, F.lit(r)) for r in ("mark", "thickness", "head_height", "quantity"))))
     usable = F.filter(cells, lambda c: ~F.array_contains(skip, c["name"]) & (F.coalesce(c["value"], F.lit("")) != ""))
-    found = F.transform(F.flatten(F.transform(usable, lambda c: F.regexp_extract_all(c["value"], F.lit(DIMENSION_TOKEN), F.lit(0)))), F.trim)
+    found = F.transform(F.flatten(F.transform(usable, lambda c: F.regexp_extract_all(c["value"], F.lit(DIMENSION_TOKEN), F.lit(0)))), lambda c: F.trim(c))
     known = F.try_element_at(role, F.lit("width")).isNotNull() | F.try_element_at(role, F.lit("height")).isNotNull()
     ok = ~known & (F.size(found) >= 2)
     return F.struct(F.when(ok, F.get(found, 0)).otherwise("").alias("width"), F.when(ok, F.get(found, 1)).otherwise("").alias("height"))
@@ -235,7 +238,7 @@ def is_val(key: Column) -> Column:
 def class_index(name: Column) -> Column:
     """0 window, 1 door of a detector's class name; null for others. Window words win."""
     n = F.lower(name)
-    return F.when(n.rlike("window|sash|glaz"), 0).when(n.rlike("door|gate|opening"), 1)
+    return F.when(n.rlike("window|sash|glazing"), 0).when(n.rlike("door|garage"), 1)
 
 
 def sheet_key(project: Column, sha256: Column, page: Column) -> Column:

@@ -61,12 +61,15 @@ def mullion_groups(boxes: DataFrame, by: list[str], ident: str, gap: float = 0.1
     return out.withColumn("group_no", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("int")).drop("__new")
 
 
-def merged_titles(lines: DataFrame, by: list[str], reach: int = 6, size_tolerance: float = 0.10, gap: float = 1.6) -> DataFrame:
+def merged_titles(lines: DataFrame, by: list[str], size_tolerance: float = 0.10, gap: float = 1.6) -> DataFrame:
     """From each line: its text and those of the lines after it, up to another block, another size or a wide gap.
 
-    lines: block, ord, text, size, y0, y1. Runs overlap; at most reach lines each.
+    lines: block, ord, text, size, y0, y1. Runs overlap. A run ends with its block's
+    lines, so only those of one block on end are looked at together.
     """
-    w = Window.partitionBy(*by).orderBy("ord").rowsBetween(1, reach)
+    inner = Window.partitionBy(*by).orderBy("ord")
+    lines = lines.withColumn("__turn", F.when(F.lag("block").over(inner) == F.col("block"), 0).otherwise(1)).withColumn("__turn", F.sum("__turn").over(inner.rowsBetween(Window.unboundedPreceding, 0)))
+    w = Window.partitionBy(*by, "__turn").orderBy("ord").rowsBetween(1, Window.unboundedFollowing)
     after = F.collect_list(F.struct("block", "text", "size", "y0", "y1")).over(w)
     start = F.struct(F.col("text").alias("text"), F.col("y1").alias("y1"), F.lit(0).alias("lines"), F.lit(False).alias("stop"))
 
@@ -74,7 +77,7 @@ def merged_titles(lines: DataFrame, by: list[str], reach: int = 6, size_toleranc
         ok = ~acc["stop"] & (x["block"] == F.col("block")) & (F.abs(x["size"] - F.col("size")) <= size_tolerance * F.col("size")) & (x["y0"] - acc["y1"] <= gap * F.col("size"))
         return F.struct(F.when(ok, F.concat(acc["text"], F.lit(" "), x["text"])).otherwise(acc["text"]).alias("text"), F.when(ok, F.greatest(acc["y1"], x["y1"])).otherwise(acc["y1"]).alias("y1"), (acc["lines"] + ok.cast("int")).alias("lines"), (~ok).alias("stop"))
 
-    return lines.withColumn("run", F.aggregate(after, start, step)).withColumns({"run_text": F.col("run.text"), "run_lines": F.col("run.lines") + 1}).drop("run")
+    return lines.withColumn("run", F.aggregate(after, start, step)).withColumns({"run_text": F.col("run.text"), "run_lines": F.col("run.lines") + 1}).drop("run", "__turn")
 
 
 def column_bands(anchors: DataFrame, by: list[str], x: str = "x0", share: float = 0.35, same: float = 4.0) -> DataFrame:

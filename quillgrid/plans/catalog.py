@@ -217,14 +217,14 @@ def q19_gutters(words):
 
 @query(
     "lineitem",
-    sql=""" , c as (select l_orderkey % 500 as t, l_linenumber % 3 as tier, l_orderkey // 500 as col, max(case when l_partkey % 3 = 0 then upper(l_returnflag) else '' end) as text from lineitem where l_linenumber <= 3 group by 1, 2, 3),
+    sql=""" , c as (select l_orderkey % 500 as t, l_linenumber % 3 as tier, l_orderkey // 500 as col, max(case when l_partkey % 3 = 0 then upper(l_returnflag) else '' end) as text from lineitem group by 1, 2, 3),
 f as (select *, max(tier) over (partition by t) as lastt, last_value(nullif(text, '') ignore nulls) over (partition by t, tier order by col rows between unbounded preceding and current row) as fill from c),
 g as (select t, col, list(case when tier = lastt then nullif(text, '') else fill end order by tier) as parts from f group by t, col),
 h as (select t, col, list_filter(parts, lambda p: p is not null) as parts from g)
 select t, col, coalesce(nullif(array_to_string(list_filter(parts, lambda p, i: i = 1 or p != parts[i - 1]), '.'), ''), 'col' || col) as name from h""".replace(" , c as", "with c as", 1),
 )
 def q20_header_tiers(lineitem):
-    cells = lineitem.where("l_linenumber <= 3").select((F.col("l_orderkey") % 500).alias("t"), (F.col("l_linenumber") % 3).alias("tier"), F.floor(F.col("l_orderkey") / 500).alias("col"), F.when(F.col("l_partkey") % 3 == 0, F.upper("l_returnflag")).otherwise("").alias("text"))
+    cells = lineitem.select((F.col("l_orderkey") % 500).alias("t"), (F.col("l_linenumber") % 3).alias("tier"), F.floor(F.col("l_orderkey") / 500).alias("col"), F.when(F.col("l_partkey") % 3 == 0, F.upper("l_returnflag")).otherwise("").alias("text"))
     return sequence.header_names(cells.groupBy("t", "tier", "col").agg(F.max("text").alias("text")), ["t"])
 
 
@@ -286,9 +286,9 @@ def _summary_sql() -> str:
 ORACLE_SQL["q23_type_summary"] = _summary_sql()
 
 
-@query("lineitem", "part", "orders", sql="select l_orderkey, l_linenumber, p_name as block_title, coalesce(o_orderpriority, '') as sheet_name, concat_ws('|', p_brand, p_type) as specs, case when l_returnflag = 'R' then 1 else 0 end as needs_review from lineitem left join part on p_partkey = l_partkey left join orders on o_orderkey = l_orderkey where l_quantity >= 30")
+@query("lineitem", "part", "orders", sql="select l_orderkey, l_linenumber, p_name as block_title, coalesce(o_orderpriority, '') as sheet_name, concat_ws('|', p_brand, p_type) as specs, case when l_returnflag = 'R' then 1 else 0 end as needs_review from lineitem left join part on p_partkey = l_partkey left join orders on o_orderkey = l_orderkey")
 def q24_takeoff_rows(lineitem, part, orders):
-    items = lineitem.where("l_quantity >= 30").join(part, F.col("p_partkey") == F.col("l_partkey"), "left").join(orders, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    items = lineitem.join(part, F.col("p_partkey") == F.col("l_partkey"), "left").join(orders, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     return items.select("l_orderkey", "l_linenumber", F.col("p_name").alias("block_title"), F.coalesce("o_orderpriority", F.lit("")).alias("sheet_name"), F.concat_ws("|", "p_brand", "p_type").alias("specs"), F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("needs_review"))
 
 
@@ -361,10 +361,10 @@ TOKENS = "list_sort(list_distinct(list_filter(string_split_regex(regexp_replace(
 
 @query(
     "documents",
-    sql=f"with s as (select doc_id, {TOKENS} as t from documents where lang = 'en'), p as (select a.doc_id as a, b.doc_id as b, len(list_intersect(a.t, b.t)) as k, len(a.t) as n, len(b.t) as m from s a join s b on a.doc_id < b.doc_id and len(a.t) > 0 and least(len(a.t), len(b.t)) >= 0.95 * greatest(len(a.t), len(b.t))) select a, b from p where k / (n + m - k) >= 0.95",
+    sql=f"with s as (select doc_id, {TOKENS} as t from documents), p as (select a.doc_id as a, b.doc_id as b, len(list_intersect(a.t, b.t)) as k, len(a.t) as n, len(b.t) as m from s a join s b on a.doc_id < b.doc_id and len(a.t) > 0 and least(len(a.t), len(b.t)) >= 0.95 * greatest(len(a.t), len(b.t))) select a, b from p where k / (n + m - k) >= 0.95",
 )
 def q31_similar_pairs(documents):
-    sets = similarity.word_sets(documents.where("lang = 'en'"), "doc_id", "text")
+    sets = similarity.word_sets(documents, "doc_id", "text")
     return similarity.jaccard_pairs(sets, "doc_id").select("a", "b")
 
 
@@ -375,7 +375,7 @@ def q32_keep_first(documents):
         import tempfile
 
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quillgrid-"))  # only where the session names none
-    pairs = similarity.jaccard_pairs(similarity.word_sets(documents.where("lang = 'en'"), "doc_id", "text"), "doc_id").checkpoint()
+    pairs = similarity.jaccard_pairs(similarity.word_sets(documents, "doc_id", "text"), "doc_id").checkpoint()
     return similarity.keep_first(pairs, similarity.components(pairs))
 
 
@@ -502,7 +502,7 @@ def q47_coco_rows(boxes):
     return coco_annotations(boxes.where("cls != ''"))
 
 
-@query("documents", sql=f"select doc_id, len({TOKENS}) as n_tokens, md5(array_to_string({TOKENS}, ' ')) as fingerprint from documents where lang = 'en'")
+@query("documents", sql=f"select doc_id, len({TOKENS}) as n_tokens, md5(array_to_string({TOKENS}, ' ')) as fingerprint from documents")
 def q48_word_sets(documents):
-    sets = similarity.word_sets(documents.where("lang = 'en'"), "doc_id", "text")
+    sets = similarity.word_sets(documents, "doc_id", "text")
     return sets.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"), F.md5(F.array_join("tokens", " ").cast("binary")).alias("fingerprint"))

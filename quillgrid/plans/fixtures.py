@@ -37,10 +37,10 @@ TABLES = {
         {D("(i * 170 + u.user_id) % 900 + case when i >= 6 then 105 else 0 end + 120 + 40 * (i % 5)")} as x1, {D("(i % 6 * 130) % 600 + 160 + 40 * (i % 5)")} as y1,
         case (u.user_id + i) % 6 when 0 then 'window_area' when 1 then 'door_area' when 2 then 'garage_area' when 3 then 'exclude' when 4 then 'mixed' else 'unknown' end as area_type
         from (select user_id, <0..7> as i from (select distinct user_id from {{events}}) v) u""",
-    "titles": f"""select p_partkey as title_id, p_partkey % 50 as page, v.s as title, {D("9 + p_size % 12")} as size, {D("(p_partkey * 41) % 2000")} as x0, {D("(p_partkey * 29) % 1500")} as y0,
+    "titles": f"""select p_partkey as title_id, cast(floor(p_partkey / 4) as bigint) as page, v.s as title, {D("9 + p_size % 12")} as size, {D("(p_partkey * 41) % 2000")} as x0, {D("(p_partkey * 29) % 1500")} as y0,
         {D("(p_partkey * 41) % 2000 + 150")} as x1, {D("(p_partkey * 29) % 1500 + 20")} as y1 from {{part}} join {values(TITLES, "v")} on p_partkey % {len(TITLES)} = v.k""",
-    "comps": f"""select o_orderkey as comp_id, o_orderkey % 50 as page, {D("(o_orderkey * 61) % 2000")} as x0, {D("(o_orderkey * 43) % 1500")} as y0,
-        {D("(o_orderkey * 61) % 2000 + 40 + o_orderkey % 90")} as x1, {D("(o_orderkey * 43) % 1500 + 30 + o_orderkey % 70")} as y1, {D("1560")} as page_h from {{orders}} where o_orderkey % 40 = 0""",
+    "comps": f"""select o_orderkey as comp_id, cast(floor(o_custkey / 3) as bigint) as page, {D("(o_orderkey * 61) % 2000")} as x0, {D("(o_orderkey * 43) % 1500")} as y0,
+        {D("(o_orderkey * 61) % 2000 + 40 + o_orderkey % 90")} as x1, {D("(o_orderkey * 43) % 1500 + 30 + o_orderkey % 70")} as y1, {D("1560")} as page_h from {{orders}}""",
     "specs": f"""select p_partkey as item_id, v.s as spec, case p_partkey % 3 when 0 then 'door' when 1 then 'window' else 'unknown' end as block_category,
         case when p_partkey % 4 = 0 then 'F' when p_partkey % 4 = 1 then 'G' else '' end as type_code from {{part}} join {values(SPECS, "v")} on p_partkey % {len(SPECS)} = v.k""",
     "dims": f"select p_partkey as item_id, v.s as dim from {{part}} join {values(DIMS, 'v')} on (p_partkey + p_size) % {len(DIMS)} = v.k",

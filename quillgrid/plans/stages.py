@@ -26,8 +26,8 @@ def locate(lines: DataFrame, pages: DataFrame, edges: DataFrame, toc: DataFrame,
     Dear signals come last: header bands are looked for on borderline pages only.
     """
     usable = pages.where(~F.coalesce("health", F.lit("ok")).isin("truncated", "unopenable")).select(*PAGE, "height")
-    big = lines.join(font_mode(lines), PAGE).where(F.col("size") >= F.greatest(F.lit(11.0), 1.35 * F.col("mode"))).join(usable.select(*PAGE), PAGE, "left_semi")
-    runs = sequence.merged_titles(big, PAGE)
+    runs = sequence.merged_titles(lines.join(usable.select(*PAGE), PAGE, "left_semi"), PAGE)  # small lines end a run, so they go only after it
+    runs = runs.join(font_mode(lines), PAGE).where(F.col("size") >= F.greatest(F.lit(11.0), 1.35 * F.col("mode")))
     t = F.col("run_text")
     titles = runs.select(*PAGE, "ord", t.alias("title"), *Rect.of().named(), "size", T.title_score(t).alias("score"), T.category_of(t).alias("category"), T.kind_of(t).alias("kind")).where("score > 0")
     titles = titles.dropDuplicates([*PAGE, "title", "y0", "x0"]).join(edges, PAGE, "left").withColumn("at_edge", F.coalesce(F.col("x0") >= F.col("tb_x"), F.lit(False)))

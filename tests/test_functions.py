@@ -98,7 +98,7 @@ def test_keys_and_split(spark):
     assert apply(spark, ["ok_1-x", "../etc", "a/b", ""], T.valid_key) == [True, False, False, False]
     assert apply(spark, ["Window-A", "garage door", "sash door", "wall"], T.class_index) == [0, 1, 0, None]
     assert apply(spark, ["• a", "•• b", "SIZE: 3", "plain"], T.bullet_depth) == [1, 2, 1, 0]
-    assert apply(spark, ["• a", "- - b"], T.strip_bullet) == ["a", "b"]
+    assert apply(spark, ["• a", "‣ * b", "- c"], T.strip_bullet) == ["a", "b", "- c"]  # a dash is no bullet
 
 
 box = st.tuples(*[st.integers(0, 60)] * 4).map(lambda b: (min(b[0], b[2]), min(b[1], b[3]), max(b[0], b[2]), max(b[1], b[3])))
@@ -133,3 +133,23 @@ def test_flags(spark):
     df = spark.createDataFrame([(0.0, 0.0, 12.0, 100.0, 0.2), (0.0, 0.0, 50.0, 50.0, 0.9), (0.0, 0.0, 700.0, 100.0, 0.0)], "x0 double, y0 double, x1 double, y1 double, conf double")
     assert [r.f for r in df.select(G.attention_flags(Rect.of(), F.col("conf")).alias("f")).collect()] == [["tiny", "low_conf", "extreme_aspect"], [], ["extreme_aspect"]]
     assert math.isclose(df.select(G.render_zoom(F.col("x1"), F.col("y1")).alias("z")).first().z, 16.0)
+
+
+def test_item_patterns(spark):
+    """Values read off the reference's rules, not off the constants here."""
+    got = apply(spark, ["TYPE A 6'-0' x 6'-0\" FIXED", "3'-0\" × 6'-8\" FLUSH", "3068", "pair 3068 HM", "x 3068 HM"], T.parse_title)
+    assert [(g.width, g.height, g.kind) for g in got] == [("6'-0\"", "6'-0\"", "FIXED"), ("3'-0\"", "6'-8\"", "FLUSH"), ("", "", "3068"), ("3'-0\"", "6'-8\"", "HM"), ("", "", "x 3068 HM")]
+    assert apply(spark, ["■ a", "▪‣ b", "◦ c", "- d", "GLASS TYPE: LOW E", "A: x", "U/VALUE: 3", "FIN. HDW: X"], T.bullet_depth) == [1, 2, 0, 0, 1, 0, 0, 1]
+    rows = [["abc-1"], ["ABCD"], ["w.12a"], ["hello there", "30 - 36"], ["hello there", "3068"], ["hello there", "varies"], ["hello there", "1/2"], ["hello there", "30681"]]
+    assert apply(spark, rows, T.is_data_row, "array<string>") == [True, True, True, True, True, True, False, False]
+    assert apply(spark, ["gate", "opening", "Garage", "glaz", "Glazing"], T.class_index) == [None, None, 1, None, 0]
+
+
+def test_titles_have_no_most_lines(spark):
+    from quillgrid.operators import sequence
+
+    rows = [(1, 0, k, f"t{k}", 12.0, 14.0 * k, 14.0 * k + 10) for k in range(9)] + [(1, 1, 9, "other", 12.0, 126.0, 136.0), (1, 0, 10, "back", 12.0, 140.0, 150.0)]
+    rows += [(2, 0, 0, "a", 20.0, 0.0, 10.0), (2, 0, 1, "small", 6.0, 12.0, 18.0), (2, 0, 2, "b", 20.0, 20.0, 30.0)]
+    got = {(r.page, r.ord): r.run_text for r in sequence.merged_titles(spark.createDataFrame(rows, "page int, block int, ord int, text string, size double, y0 double, y1 double"), ["page"]).collect()}
+    assert got[1, 0] == " ".join(f"t{k}" for k in range(9)) and got[1, 8] == "t8" and got[1, 10] == "back"
+    assert got[2, 0] == "a" and got[2, 2] == "b"

@@ -45,7 +45,7 @@ def test_locate_segment_and_read_a_table(spark):
 
 
 def test_ruled_table(spark):
-    grid = [["", "SIZE", "", ""], ["MARK", "WIDTH", "HEIGHT", "TYPE"], ["A1", "3'-0\"", "7'-0\"", "F"], ["note", "", "", ""]]
+    grid = [["", "SIZE", "", ""], ["MARK", "WIDTH", "HEIGHT", "TYPE"], ["A1", "3'-0\"", "7'-0\"", "F"], ["see notes", "", "", ""]]  # four letters alone would read as a mark
     cells = spark.createDataFrame([(7, r, c, t) for r, line in enumerate(grid) for c, t in enumerate(line)], "table_id long, row int, col int, text string")
     tables = spark.createDataFrame([(7, "b", 0.0, 0.0, 100.0, 100.0)], "table_id long, block_id string, x0 double, y0 double, x1 double, y1 double")
     blocks = tables.drop("table_id")
