@@ -30,8 +30,17 @@ NAME_PARTS = {"password": 3, "passwd": 3, "passphrase": 3, "pwd": 3, "pass": 2,
 SCORE_LEAST = 5
 LITERAL_LEAST = 8
 _DULL = re.compile(r"(?i)^(?:x+|\*+|\.+|change_?me.*|example.*|your[_-].*|<.*>|\$\{.*\}|%\(.*\)s|null|none|true|false)$")
-#: One token: a quoted literal on one line, a name, an assignment sign, a line's end, or another sign.
-_TOKEN = re.compile(r"""(?P<text>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)|(?P<name>[A-Za-z_$][\w$-]*(?:\.[A-Za-z_$][\w$-]*)*)|(?P<set>:=|=>|=(?!=)|:(?!:))|(?P<end>[\n;,])|(?P<gap>[ \t]+)|(?P<other>[^\s])""", re.ASCII)
+# A literal in triple quotes without a blank inside, or in quotes on one line; a letter or two may mark its kind. An escaped quote begins none.
+_QUOTED = r"""(?:(?<![\w$])[bBrRuUfFL]{1,2}(?=["']))?(?<!\\)(?:\"{3}\s*+(?:[^"\\\s]|\\.)++\s*+\"{3}|'{3}\s*+(?:[^'\\\s]|\\.)++\s*+'{3}|"(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+'|`[^`\n]*`)"""
+#: One token: a quoted literal, a name, an assignment sign, a line's end, or another sign.
+_TOKEN = re.compile(rf"""(?P<text>{_QUOTED})|(?P<name>[A-Za-z_$][\w$-]*(?:\.[A-Za-z_$][\w$-]*)*)|(?P<set>:=|=>|=(?!=)|:(?!:))|(?P<end>[\n;,])|(?P<gap>[ \t]+)|(?P<other>[^\s])""", re.ASCII)
+#: What joins a literal to the next: a sign of joining, a line's end marked as no end, or only a blank.
+_JOINED = re.compile(rf"""[ \t]*+(?:(?:\+|\.\.?|&|\|\||\\(?=\r?\n))\s*+)?(?P<text>{_QUOTED})""", re.ASCII)
+#: An element that holds one word, and a tag whose attributes name a value.
+_ELEMENT = re.compile(r"<([A-Za-z_][\w.:-]*)(?:\s[^<>]*)?>\s*+(?:<!\[CDATA\[)?([^<>\s\]]+)(?:\]\]>)?\s*+</\1\s*>", re.ASCII)
+_TAG = re.compile(r"<[A-Za-z_][\w.:-]*\s([^<>]*)>", re.ASCII)
+_NAMED = re.compile(r"""(?:^|\s)(?:key|name|id)\s*=\s*["']([\w$.:-]+)["']""", re.ASCII | re.I)
+_VALUE = re.compile(r"""(?:^|\s)value\s*=\s*(?:"([^"]*)"|'([^']*)')""", re.ASCII | re.I)
 #: An unquoted value, after its sign: up to a blank, a quote, a comment or the line's end. Of a longer run its first 4096 characters, so that time stays in proportion.
 _BARE = re.compile(r"""[^\s"'`#][^\s"'`]{0,4095}""")
 #: A plain name, which in code stands for something else; a member of something; a call or an index.
@@ -88,19 +97,56 @@ def _bare(text: str, sign: re.Match[str]) -> tuple[int, int] | None:
     return at, end
 
 
-def assignments(text: str) -> list[tuple[str, int, int]]:
-    """(target name, literal start, end) of each assignment in reading order.
-
-    Targets are plain, dotted or quoted names before one of = : := =>. A bare
-    name on the right stands for the literals last assigned to it, so constants
-    are propagated, over any number of steps; any other unquoted value is a
-    literal itself. A target stays one across its type (name: type = value).
+def _inside(text: str, start: int, end: int) -> tuple[int, int]:
+    """The span of a quoted literal's value."""
+    while text[start] not in "\"'`":
+        start += 1
+    quotes = 3 if end - start > 6 and text[start : start + 3] in ('"' * 3, "'" * 3) else 1
+    start, end = start + quotes, end - quotes
+    if quotes == 3:
+        while text[start].isspace():
+            start += 1
+        while text[end - 1].isspace():
+            end -= 1
+    return start, end
+
+
+def _whole(text: str, m: re.Match[str]) -> tuple[int, int, str]:
+    """(start, end, value) of a literal and all those joined to it; the span reaches from the first value to the last."""
+    start, end = _inside(text, *m.span("text"))
+    parts = [text[start:end]]
+    while m := _JOINED.match(text, m.end()):
+        a, end = _inside(text, *m.span("text"))
+        parts.append(text[a:end])
+    return start, end, "".join(parts)
+
+
+def elements(text: str) -> tuple[list[tuple[str, int, int, str]], set[tuple[int, int]]]:
+    """(name, start, end, value) of elements that hold one word and of tags with a name and a value; the spans of the latter's names."""
+    out = [(m[1], *m.span(2), m[2]) for m in _ELEMENT.finditer(text)]
+    names = set()
+    for m in _TAG.finditer(text):
+        if (name := _NAMED.search(m[1])) and (value := _VALUE.search(m[1])):
+            k, at = value.lastindex, m.start(1)
+            out.append((name[1], at + value.start(k), at + value.end(k), value[k]))
+            names.add((at + name.start(1), at + name.end(1)))
+    return out, names
+
+
+def assignments(text: str) -> list[tuple[str, int, int, str]]:
+    """(target name, start, end, value) of each assignment in reading order.
+
+    Targets are plain, dotted or quoted names and quoted subscripts before one of
+    = : := =>. A bare name on the right stands for the literals last assigned to
+    it, so constants are propagated, over any number of steps; any other unquoted
+    value is a literal itself. Literals that follow each other or are joined by a
+    sign are one. A target stays one across its type (name: type = value).
     """
-    out: list[tuple[str, int, int]] = []
-    known: dict[str, tuple[int, int]] = {}
-    target, armed, typed, skip = "", False, "", 0  # typed: what stands in a type's place, skip: where the type ends
+    out: list[tuple[str, int, int, str]] = []
+    known: dict[str, tuple[int, int, str]] = {}
+    target, armed, typed, skip, last = "", False, "", 0, ""  # typed: what stands in a type's place, skip: where the type or a joined literal ends
 
-    def put(span: tuple[int, int]) -> None:
+    def put(span: tuple[int, int, str]) -> None:
         for name in filter(None, (typed, target)):
             known[name] = span
             out.append((name, *span))
@@ -109,16 +155,18 @@ def assignments(text: str) -> list[tuple[str, int, int]]:
         kind = m.lastgroup
         if kind == "gap" or m.start() < skip:
             continue
+        before, last = last, kind
         if kind == "set":
             armed = bool(target)
             if armed and m[0] == ":" and (t := _TYPED.match(text, m.start())):
                 skip = t.end() - 1
                 typed = t[0][1:-1].strip()
-            elif armed and (span := _bare(text, m)) and text[slice(*span)] not in known:
-                put(span)
+            elif armed and (span := _bare(text, m)) and (value := text[slice(*span)]) not in known:
+                put((*span, value))
         elif kind == "text" and armed:
-            put((m.start() + 1, m.end() - 1))
-            target, armed, typed = "", False, ""
+            span = _whole(text, m)
+            put(span)
+            target, armed, typed, skip = "", False, "", span[1]
         elif kind == "name" and armed:
             if m[0] in known:
                 put(known[m[0]])
@@ -128,7 +176,7 @@ def assignments(text: str) -> list[tuple[str, int, int]]:
             target = inner if re.fullmatch(r"[A-Za-z_$][\w$.-]*", inner, re.ASCII) else ""
         elif kind == "name":
             target = m[0]
-        else:
+        elif m[0] != "]" or before != "text":  # a quoted subscript names its target
             target, armed, typed = "", False, ""
     return out
 
@@ -147,9 +195,11 @@ def scan(text: str, lowered: bytes | None = None, hexes: bool = True) -> list[tu
         found += [("access", *m.span()) for m in ACCESS.finditer(text) if m.end() - m.start() >= LEAST["access"]]
     if hexes:
         found += [("hex", *m.span()) for m in HEX.finditer(text) if m.end() - m.start() >= LEAST["hex"]]
-    if b"=" in low or b":" in low:
-        spans = {(s, e) for name, s, e in assignments(text) if (n := name_score(name)) and (v := literal_score(text[s:e])) and n + v >= SCORE_LEAST}
-        found += [("literal", s, e) for s, e in spans]
+    if b"=" in low or b":" in low or b"</" in low:
+        tagged, names = elements(text) if b"<" in low else ([], set())
+        pairs = assignments(text) + tagged
+        spans = {(s, e) for name, s, e, value in pairs if (n := name_score(name)) and (v := literal_score(value)) and n + v >= SCORE_LEAST}
+        found += [("literal", s, e) for s, e in spans - names]
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 

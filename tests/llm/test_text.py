@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -139,6 +140,40 @@ def test_unquoted_values_and_typed_declarations():
         assert found(code) == [], code
 
 
+def test_elements_subscripts_and_joined_literals():
+    def found(text):
+        return [text[s:e] for k, s, e in secret_scan.scan(text) if k == "literal"]
+
+    value = "Tr0ub4dor&3xy"
+    for text in (
+        f"<password>{value}</password>",
+        f'<db:password kind="x">\n  {value}\n</db:password>',
+        f"<password><![CDATA[{value}]]></password>",
+        f'<add key="DbPassword" value="{value}"/>',
+        f"os.environ['DB_PASSWORD'] = '{value}'",
+        f'config["db"]["password"] = "{value}"',
+        f'db_password = """{value}"""',
+        f"db_password = '''\n  {value}\n'''",
+        f'db_password = b"{value}"',
+        f"db_password: str = r'{value}'",
+        f'KEEP = """{value}"""\ndb_password = KEEP',
+    ):
+        assert found(text) == [value], text
+    assert found('db_password = "Tr0ub" + "4dor&3xy"') == ['Tr0ub" + "4dor&3xy']
+    assert found('db_password = ("Tr0ub"\n "4dor&3xy")') == []
+    assert found('db_password = "Tr0ub" \\\n    "4dor&3xy"; x = "Tr0ub4dor&3xy"') == ['Tr0ub" \\\n    "4dor&3xy']
+    assert found('f(["password", "Tr0ub4dor&3xy"])\nx["password"] == "Tr0ub4dor&3xy"') == []
+    assert found("<password>two words here</password><colour>Tr0ub4dor&3xy</colour>") == []
+    assert found('password = """two words\nhere"""\ndb_password = ""') == []
+
+
+def test_lexing_takes_time_in_proportion():
+    for text in ('"""' * 20_000, "a='" + "\\'" * 30_000, "<a " * 20_000, "x=" + '"a"+' * 20_000, 'x="""' + " " * 50_000, "<a>" * 20_000, "'''\\''" * 10_000, '"a" ' * 20_000):
+        begin = time.process_time()
+        secret_scan.scan(text)
+        assert time.process_time() - begin < 5, text[:20]
+
+
 def test_secret_rows(odd, odd_rows, nothing):
     got = secret_scan.scan_secrets(odd).collect()
     assert Counter((r.doc_id, tuple(map(tuple, r.spans))) for r in got) == Counter((i, tuple(secret_scan.scan(t or ""))) for i, t in odd_rows)
