@@ -11,7 +11,7 @@ from quillgrid.functions import geometry as G
 from quillgrid.functions import text as T
 from quillgrid.functions import vocabulary as V
 from quillgrid.functions.geometry import Rect
-from quillgrid.operators import graph, greedy, registry, sequence, similarity, spatial
+from quillgrid.operators import graph, greedy, registry, rollups, sequence, similarity, spatial
 from quillgrid.plans.fixtures import table, with_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -506,3 +506,48 @@ def q47_coco_rows(boxes):
 def q48_word_sets(documents):
     sets = similarity.word_sets(documents, "doc_id", "text")
     return sets.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"), F.md5(F.array_join("tokens", " ").cast("binary")).alias("fingerprint"))
+
+
+@query("documents", sql="with f as (select source, count(*) as pages, case when count(*) filter (length(trim(text)) >= 200) * 10 >= count(*) then 'ok' else 'no_text_layer' end as health, coalesce(bool_or(lang is null), false) as rotated from documents group by source) select health, count(*) as files, cast(sum(pages) as bigint) as pages, count(*) filter (rotated) as rotated, grouping(health) as total from f group by grouping sets ((health), ())")
+def q49_corpus_summary(documents):
+    """Sources are files; one with a text of no language stands for a file with a turned page."""
+    texts = F.count_if(F.length(F.trim("text")) >= 200)
+    files = documents.groupBy(F.col("source").alias("file")).agg(F.count("*").alias("pages"), F.when(texts * 10 >= F.count("*"), "ok").otherwise("no_text_layer").alias("health"), F.bool_or(F.col("lang").isNull()).alias("rotated"))
+    return rollups.corpus_summary(files)
+
+
+def _planset_counts(customer: DataFrame, orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """Customers are plansets, their orders blocks on sheets by priority, lines items."""
+    blocks = orders.select(F.col("o_custkey").alias("planset"), "o_orderkey", "o_orderpriority")
+    items = lineitem.join(blocks, F.col("l_orderkey") == F.col("o_orderkey")).select("planset", (F.col("l_returnflag") == "R").alias("needs_review"))
+    sheets = blocks.select("planset", "o_orderpriority").distinct()
+    return rollups.planset_counts(customer.select(F.col("c_custkey").alias("planset")), sheets, blocks, items)
+
+
+PLANSETS = """b as (select o_custkey as planset, count(*) as blocks, count(distinct o_orderpriority) + max(case when o_orderpriority is null then 1 else 0 end) as sheets from orders group by all),
+i as (select o_custkey as planset, count(*) as items, count(*) filter (l_returnflag = 'R') as review from lineitem join orders on l_orderkey = o_orderkey group by all),
+p as (select c_custkey as planset, coalesce(sheets, 0) as schedule_sheets, coalesce(blocks, 0) as blocks, coalesce(items, 0) as items, coalesce(review, 0) as needs_review from customer left join b on b.planset = c_custkey left join i on i.planset = c_custkey)"""
+
+
+@query("customer", "orders", "lineitem", sql=f"with {PLANSETS} select planset, cast(schedule_sheets as bigint) as schedule_sheets, blocks, items, needs_review from p")
+def q50_planset_counts(customer, orders, lineitem):
+    return _planset_counts(customer, orders, lineitem)
+
+
+@query("customer", "orders", "lineitem", sql=f"with {PLANSETS} select count(*) as plansets, count(*) filter (items > 0) as with_items, cast(sum(items) as bigint) as items, cast(sum(needs_review) as bigint) as needs_review, sum(needs_review) / nullif(sum(items), 0) as review_share from p")
+def q51_extract_report(customer, orders, lineitem):
+    return rollups.extract_report(_planset_counts(customer, orders, lineitem))
+
+
+@query("boxes", "areas", sql=f", {HELD}, o as (select b.page, best.box_id is not null as in_block, case when b.cls = 'door' then 'sheet' else 'block' end as source from boxes b left join best using (box_id)) select page, count(*) as openings, count(*) filter (in_block) as in_block, count(*) filter (not in_block) as outside, count(*) filter (source = 'sheet') as by_sheet, count(*) filter (source = 'block') as by_block, grouping(page) as total from o group by grouping sets ((page), ())")
+def q52_detection_summary(boxes, areas):
+    held = q01_smallest_container(boxes, areas).select("box_id", F.col("area_ord").isNotNull().alias("in_block"))
+    openings = boxes.select("box_id", "page", F.when(F.col("cls") == "door", "sheet").otherwise("block").alias("source")).join(held, "box_id")
+    return rollups.detection_summary(openings)
+
+
+@query("titles", sql=f", b as (select page, title_id, {CATEGORY_SQL} as category, {KIND_SQL} as kind, case when title_id % 2 = 0 then 'tabular' else 'pictorial' end as genre from titles) select b.page, b.category, title_id from b where kind = 'type_legend' and not exists (select 1 from b s where s.page = b.page and s.category = b.category and s.kind = 'schedule' and s.genre = 'tabular')")
+def q53_legends_as_items(titles):
+    t = F.col("title")
+    blocks = titles.select("page", "title_id", T.category_of(t).alias("category"), T.kind_of(t).alias("kind"), F.when(F.col("title_id") % 2 == 0, "tabular").otherwise("pictorial").alias("genre"))
+    return rollups.legends_as_items(blocks).select("page", "category", "title_id")
