@@ -10,8 +10,12 @@ from quillgrid.functions import vocabulary as V
 
 
 def running_number(df: DataFrame, order: list[str], name: str) -> DataFrame:
-    """df with 1, 2, 3 ... in order, without gathering the rows in one task: ranges are sorted, their sizes give each its start."""
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id())
+    """df with 1, 2, 3 ... in order, nulls last, without gathering the rows in one task: ranges are sorted, their sizes give each its start.
+
+    Spark cuts ranges anew, by another sample, for each use of a plan; the checkpoint has sizes and rows see one cut.
+    """
+    by = [F.col(c).asc_nulls_last() for c in order]
+    ranged = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("__part", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id()).checkpoint()
     first = ranged.groupBy("__part").agg(F.count("*").alias("n"), F.min("__at").alias("low"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
     starts = first.select("__part", "low", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))

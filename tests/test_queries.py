@@ -58,3 +58,17 @@ def test_no_python_in_native_queries(spark):
     for name in ("q01_smallest_container", "q12_title_scores", "q21_facets", "q31_similar_pairs", "q36_average_precision"):
         plan = catalog.QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan, name
+
+
+def test_running_number_of_more_rows_than_a_sample_and_nulls(spark):
+    """Ranges are cut by samples: the sizes that number the rows must be those of the same cut."""
+    from pyspark.sql import functions as F
+
+    from quillgrid.sources.sinks import running_number
+
+    null = F.lit(None).cast("long")
+    rows = spark.range(60_000, numPartitions=3).select(F.when(F.col("id") % 1000 != 7, F.pmod(F.xxhash64("id"), F.lit(500))).otherwise(null).alias("a"), F.col("id").alias("b"), F.concat(F.lit("c"), "id").alias("c"))
+    got = running_number(rows, ["a", "b"], "n").collect()
+    want = sorted(got, key=lambda r: (r.a is None, r.a or 0, r.b))  # DuckDB's order: nulls are last
+    assert [r.n for r in want] == list(range(1, 60_001))
+    assert all(r.c == f"c{r.b}" for r in got)
