@@ -1,9 +1,16 @@
-"""Near copies: documents linked by an exact Jaccard likeness of their word shingles."""
+"""Near copies: documents linked by SimHash and an exact Jaccard likeness of their word shingles.
+
+A set of shingles has a SimHash of 256 bits. Two sets of the threshold differ in
+a bit by a chance that the threshold bounds, so a radius is known within which
+all but LOST of such pairs lie. Fingerprints are compared in tiles by length, and
+each pair within the radius by its whole sets.
+"""
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -13,24 +20,30 @@ from pyspark.sql import functions as F
 
 from quillgrid.llm import _kernel, _store
 from quillgrid.llm.components import connected_components
+from quillgrid.llm.simhash import set_fingerprints
 from quillgrid.llm.spotsigs import _lowered, jaccard
 
 WIDTH, THRESHOLD = 5, 0.8
+#: 64-bit words of a fingerprint; those that are compared first; the part of pairs of the threshold that may lie beyond a radius.
+PRINT, FIRST_WORDS, LOST = 4, 2, 1e-9
 #: 64-bit words of a sketch.
 SKETCH = 8
-#: Sets of a tile, about, where one shingle is in more.
-TILE_SETS = 2_048
+#: Fingerprints of a tile: so many at least, and at most, and between these so that there are about TILES.
+TILE_SETS, MOST_SETS, TILES = 1_024, 1 << 18, 24
+#: Rows that reach Python at once where tiles are compared.
+TILE_BATCH = 4_096
+#: Candidates of one fingerprint in one tile before its pair of tiles is put off until these are joined.
+EACH = 8
+#: Sets below this size have radii of their own.
+SHORT = 48
 #: Bits of the filter of wanted texts, which is broadcast (1 MB): what it lets through is joined exactly.
 FILTER_BITS = 1 << 23
 
 _U = np.uint64
 
 
-def shingle_sets(column: pa.Array, width: int = WIDTH, sizes: list[np.ndarray] | None = None) -> list[np.ndarray]:
-    """Each text's distinct lower-cased word shingles as sorted 64-bit hashes; fewer words are one shingle, none an empty set.
-
-    sizes gets the bytes of the words of each shingle.
-    """
+def shingle_sets(column: pa.Array, width: int = WIDTH) -> list[np.ndarray]:
+    """Each text's distinct lower-cased word shingles as sorted 64-bit hashes; fewer words are one shingle, none an empty set."""
     out: list[np.ndarray] = []
     for a, b in _kernel.slices(column):
         words = _kernel.words_of(_lowered(column.slice(a, b - a)))
@@ -44,31 +57,62 @@ def shingle_sets(column: pa.Array, width: int = WIDTH, sizes: list[np.ndarray] |
         for k in range(width):
             on = k < size
             sig[on] = _kernel.mix(sig[on] * _U(31) + h[base[on] + k])
-        if sizes is None:
-            out += [np.unique(sig[s:e]) for s, e in zip(cut[:-1], cut[1:], strict=True)]
-            continue
-        length = np.concatenate([[0], np.cumsum(words.end - words.start)])
-        length = length[base + size] - length[base]
-        for s, e in zip(cut[:-1], cut[1:], strict=True):
-            each, at = np.unique(sig[s:e], return_index=True)
-            out.append(each)
-            sizes.append(length[s:e][at])
+        out += [np.unique(sig[s:e]) for s, e in zip(cut[:-1], cut[1:], strict=True)]
     return out
 
 
-def prefix_length(n: int, threshold: float = THRESHOLD) -> int:
-    """Of n shingles in one order, so many are read: two sets of the threshold share one of them."""
-    return n - math.ceil(threshold * n - 1e-9) + 1 if n else 0
+def prints(sets: list[np.ndarray]) -> np.ndarray:
+    """The SimHash of each set, a row of PRINT words; sets are gathered up to some MB."""
+    out, at = [np.zeros((0, PRINT), dtype=_U)], 0
+    first = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int64)
+    while at < len(sets):
+        end = max(at + 1, int(np.searchsorted(first, first[at] + (1 << 18), side="right")) - 1)
+        out.append(set_fingerprints(np.concatenate(sets[at:end]), first[at : end + 1] - first[at], PRINT))
+        at = end
+    return np.concatenate(out)
+
+
+def _binomial(n: int) -> np.ndarray:
+    return np.array([math.comb(n, k) / 2**n for k in range(n + 1)])
 
 
-def prefix(sigs: np.ndarray, sizes: np.ndarray, threshold: float = THRESHOLD) -> np.ndarray:
-    """The first shingles of a set in an order that all sets share: the longest first, which are the rarest, then by hash."""
-    return sigs[np.lexsort((sigs, -sizes))[: prefix_length(len(sigs), threshold)]]
+def flip(n: int, threshold: float) -> float:
+    """The greatest chance that a bit differs between a set of n shingles and another as large or larger, unlike, of the threshold."""
+    worst = 0.0
+    for m in range(n, math.floor(n / threshold + 1e-9) + 1):
+        for c in range(math.ceil(threshold / (1 + threshold) * (n + m) - 1e-9), n + (m > n)):  # shingles in both
+            common, ones = _binomial(c), []
+            for size in (n, m):
+                rest = np.concatenate([np.cumsum(_binomial(size - c)[::-1])[::-1], [0]])  # of so many or more
+                ones.append(rest[np.clip(size // 2 + 1 - np.arange(c + 1), 0, size - c + 1)])
+            p, q = ones
+            worst = max(worst, float((common * (p * (1 - q) + q * (1 - p))).sum()))
+    return worst
 
 
-def may_be_first(i: np.ndarray, j: np.ndarray, n: np.ndarray, m: np.ndarray, threshold: float) -> np.ndarray:
-    """Whether sets of n and m shingles whose first common one is at places i and j can be of the threshold."""
-    return np.minimum(n - i, m - j) >= threshold / (1 + threshold) * (n + m) - 1e-9
+def radius(p: float, bits: int, lost: float = LOST) -> int:
+    """So many of the bits, each different by the chance p, are exceeded by the part lost at most."""
+    tail, k = 0.0, bits
+    while k > 0 and (tail := tail + math.comb(bits, k) * p**k * (1 - p) ** (bits - k)) <= lost:
+        k -= 1
+    return k
+
+
+@lru_cache(maxsize=8)
+def radii(threshold: float) -> np.ndarray:
+    """Rows of the radius over FIRST_WORDS and over all PRINT words, by the size of the smaller set (the last row: SHORT or more)."""
+    each = [flip(n, threshold) for n in range(SHORT + 16)]
+    limit = math.acos(2 * threshold / (1 + threshold)) / math.pi  # of very large sets
+    chances = [*each[:SHORT], max(limit, *each[SHORT:])]
+    return np.array([[radius(p, 64 * w) for w in (FIRST_WORDS, PRINT)] for p in chances])
+
+
+def bands(threshold: float, most: int = 1 << 40) -> np.ndarray:
+    """Least sizes of bands of sizes: sets of the threshold are of one band or of neighbouring ones."""
+    out = [1]
+    while out[-1] < most:
+        out.append(max(math.floor(out[-1] / threshold + 1e-9) + 1, out[-1] + out[-1] // 64))
+    return np.array(out)
 
 
 def sketch(sigs: np.ndarray, bits: int = 64 * SKETCH) -> bytes:
@@ -94,22 +138,55 @@ def apart(one: list[bytes], two: list[bytes]) -> np.ndarray:
     return out
 
 
-def candidates(keys: np.ndarray, roots: np.ndarray, n: np.ndarray, places: np.ndarray, sketches: np.ndarray, split: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of different roots between the first split sets and the rest (within all where split is 0) that lengths, places and sketches allow.
+def candidates(n: np.ndarray, fp: np.ndarray, sketches: np.ndarray, roots: np.ndarray, split: int, threshold: float, each: int | None) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """Pairs of places, between the first split sets and the rest (within all where split is 0), of different roots within the radius.
 
-    Places are those of the shingle at hand: a pair is found at the first one that it shares.
+    Both parts are ordered by n. Lengths and sketches never exclude a pair of the
+    threshold. At most so many are made of each set of the first part; the flag
+    says whether any more were left out.
     """
-    a, b = [], []
-    for i in range(split or len(keys)):
-        rest = slice(split or i + 1, len(keys))
-        ok = (roots[rest] != roots[i]) & (np.minimum(n[rest], n[i]) >= threshold * np.maximum(n[rest], n[i]) - 1e-9)
-        ok &= may_be_first(places[rest], places[i], n[rest], n[i], threshold)
-        at = np.flatnonzero(ok) + rest.start
-        far = np.bitwise_count(sketches[at] ^ sketches[i]).sum(axis=1, dtype=np.int64)
-        at = at[far <= (1 - threshold) / (1 + threshold) * (n[at] + n[i]) + 1e-9]
-        a.append(np.full(len(at), keys[i]))
-        b.append(keys[at])
-    return np.concatenate([*a, keys[:0]]), np.concatenate([*b, keys[:0]])
+    limits, block, across = radii(threshold), 32, 2048
+    shift = split or 0
+    left, other = (n[:split], n[split:]) if split else (n, n)
+    right = [np.ascontiguousarray(fp[shift:, w]) for w in range(FIRST_WORDS)]
+    for top in range(0, len(left), block):
+        low, high = left[top], left[min(top + block, len(left)) - 1]
+        begin = int(np.searchsorted(other, threshold * low - 1e-9))
+        end = int(np.searchsorted(other, high / threshold + 1e-9, side="right"))
+        begin = begin if split else max(begin, top + 1)
+        loose = limits[min(max(int(min(low, other[begin] if begin < end else low)), 0), SHORT) : min(int(high), SHORT) + 1, 0].max()
+        rows = [fp[top : min(top + block, len(left)), w, None] for w in range(FIRST_WORDS)]
+        had = np.zeros(len(rows[0]), dtype=np.int64)
+        for at in range(begin, end, across):
+            to = min(at + across, end)
+            far = np.bitwise_count(rows[0] ^ right[0][None, at:to])
+            for w in range(1, FIRST_WORDS):
+                far += np.bitwise_count(rows[w] ^ right[w][None, at:to])
+            near = np.flatnonzero((far <= loose).ravel())
+            if not len(near):
+                continue
+            a, b = near // (to - at), near % (to - at)
+            far = far.ravel()[near].astype(np.int64)
+            a, b = a + top, b + at + shift
+            na, nb = n[a], n[b]
+            limit = limits[np.minimum(np.minimum(na, nb), SHORT)]
+            ok = (roots[a] != roots[b]) & (np.minimum(na, nb) >= threshold * np.maximum(na, nb) - 1e-9) & (far <= limit[:, 0])
+            if not split:
+                ok &= a < b
+            a, b, far, limit = a[ok], b[ok], far[ok], limit[ok]
+            far += np.bitwise_count(fp[a, FIRST_WORDS:] ^ fp[b, FIRST_WORDS:]).sum(axis=1, dtype=np.int64)
+            a, b = (x[far <= limit[:, 1]] for x in (a, b))
+            apart = np.bitwise_count(sketches[a] ^ sketches[b]).sum(axis=1, dtype=np.int64)
+            ok = apart <= (1 - threshold) / (1 + threshold) * (n[a] + n[b]) + 1e-9
+            a, b, more = a[ok], b[ok], False
+            if each is not None and len(a):
+                of, count = np.unique(a - top, return_counts=True)  # a is in order
+                place = np.arange(len(a)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(had[of], count)
+                had[of] += count
+                more = bool((place >= each).any())
+                a, b = a[place < each], b[place < each]
+            if len(a) or more:
+                yield a, b, more
 
 
 def _likely(pairs: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
@@ -127,40 +204,71 @@ def _likely(pairs: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
     return both.mapInArrow(_store.resting(run), "a long, b long")
 
 
-def _meet(shared: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
-    """Candidate pairs (a, b) of shared (h, key, place) and known (key, root, n, sketch): sets of different roots that one shingle h joins.
+def _tiles(known: DataFrame) -> DataFrame:
+    """known with the number of its tile and low and high, those of the first and the last that it is compared with.
 
-    A shingle of very many sets is dealt to pairs of tiles.
+    A tile holds sets of one band of sizes, dealt by hash.
     """
-    spark = shared.sparkSession
-    shared = shared.join(known.select("key", "root").hint("shuffle_hash"), "key")
-    groups = shared.groupBy("h").agg(F.count("*").alias("m"), F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 != r1")
-    rows = shared.join(groups.select("h", F.ceil(F.col("m") / TILE_SETS).cast("int").alias("tiles")).hint("shuffle_hash"), "h")
-    rows = rows.join(known.select("key", "n", "sketch").hint("shuffle_hash"), "key")
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    rows = rows.select("h", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), (F.col("part") > F.col("other")).alias("side"), "key", "root", "n", "place", "sketch")
-    rows = rows.repartition(_store.partitions(spark), "h", "i", "j").sortWithinPartitions("h", "i", "j", "side", "key")
+    sizes = {r.band: r.n for r in known.groupBy("band").agg(F.count("*").alias("n")).collect()}  # a row for each band
+    tile = min(MOST_SETS, max(TILE_SETS, -(-sum(sizes.values()) // TILES)))
+    parts = [-(-sizes.get(k, 0) // tile) for k in range(max(sizes, default=0) + 2)]
+    first = [0, 0]  # of the band before, of each band, of those after
+    for x in parts:
+        first.append(first[-1] + x)
+    of = lambda shift: F.get(F.array(*(F.lit(x) for x in first)), F.col("band") + 1 + shift)
+    many = F.greatest(F.lit(1), F.get(F.array(*(F.lit(x) for x in parts)), F.col("band")))
+    return known.withColumn("tile", (of(0) + F.pmod(F.xxhash64("key"), many)).cast("int")).withColumn("low", of(-1)).withColumn("high", of(2) - 1)
+
+
+def _met(rows: DataFrame, threshold: float, each: int | None) -> DataFrame:
+    """Rows (a, b, i, j) of rows (key, root, n, fp, sketch, tile, other): candidate pairs a, b of different roots in a tile and another, or pairs of tiles i, j that have more."""
+    rows = rows.select(F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), (F.col("tile") > F.col("other")).alias("side"), "key", "root", "n", "fp", "sketch")
+    rows = rows.repartition(_store.partitions(rows.sparkSession), "i", "j").sortWithinPartitions("i", "j", "side", "n")
+
+    def words(column: pa.Array, many: int) -> np.ndarray:
+        return np.frombuffer(b"".join(column.to_pylist()), dtype=_U).reshape(-1, many)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def end() -> pa.RecordBatch:
-            keys, roots, n, places = (np.array([r[k] for r in held], dtype=np.int64) for k in (1, 2, 3, 4))
-            sketches = np.frombuffer(b"".join(r[5] for r in held), dtype=_U).reshape(-1, SKETCH)
-            split = sum(not r[0] for r in held) if now[1] != now[2] else 0
-            a, b = candidates(keys, roots, n, places, sketches, split, threshold) if now[1] == now[2] or 0 < split < len(held) else (keys[:0], keys[:0])
-            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+        def end() -> Iterator[pa.RecordBatch]:
+            i, j = now
+            side, keys, roots, n, fp, sketches = (np.concatenate(x) for x in zip(*held, strict=True))
+            split = int((~side).sum()) if i != j else 0
+            if i != j and not 0 < split < len(keys):
+                return
+            put_off, a, b = False, [], []
+            for x, y, more in candidates(n, fp, sketches, roots, split, threshold, each):
+                put_off |= more
+                a.append(keys[x])
+                b.append(keys[y])
+                if sum(map(len, a)) >= 1 << 16:
+                    yield made(np.concatenate(a), np.concatenate(b))
+                    a, b = [], []
+            if a:
+                yield made(np.concatenate(a), np.concatenate(b))
+            if put_off:
+                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([i], pa.int32()), pa.array([j], pa.int32())], ["a", "b", "i", "j"])
+
+        def made(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+            none = pa.nulls(len(a), pa.int32())
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), none, none], ["a", "b", "i", "j"])
 
         now, held = None, []
         for batch in batches:
-            for h, i, j, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (h, i, j) != now:
+            if not batch.num_rows:
+                continue
+            i, j = (batch.column(k).to_numpy() for k in (0, 1))
+            cols = [batch.column(2).to_numpy(zero_copy_only=False), *(batch.column(k).to_numpy() for k in (3, 4, 5)), words(batch.column(6), PRINT), words(batch.column(7), SKETCH)]
+            cuts = [0, *(np.flatnonzero((i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1).tolist(), len(i)]
+            for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+                if (pair := (int(i[s]), int(j[s]))) != now:
                     if held:
-                        yield end()
-                    now, held = (h, i, j), []
-                held.append(row)
+                        yield from end()
+                    now, held = pair, []
+                held.append([c[s:e] for c in cols])
         if held:
-            yield end()
+            yield from end()
 
-    return rows.mapInArrow(_store.resting(run), "a long, b long").distinct()
+    return rows.mapInArrow(_store.resting(run), "a long, b long, i int, j int")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -190,70 +298,82 @@ def _maybe(rows: DataFrame, wanted: DataFrame) -> DataFrame:
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, threshold: float = THRESHOLD, with_keys: bool = False) -> DataFrame:
     """(id, component_id) of each row: rows linked by a likeness of threshold or more; component_id is the smallest id reachable.
 
-    Equal sets are one node. Two sets of the threshold share one of the first
-    shingles of each, in an order by length. All sets of such a hash are first compared with its least and
-    greatest key, which joins groups of near copies by as many links as they have
-    members; then all pairs not joined yet that lengths and sketches, which never
-    exclude a pair of the threshold, leave. Every link is an exact comparison.
+    Equal sets are one node. Sets whose fingerprints are within the radius are
+    candidates; every link is an exact comparison. The first candidates of each
+    set are compared first, which joins groups of near copies by few links; then
+    all candidates not joined yet, those of tiles with very many last.
     Empty sets are one group. A row without an id never names a component, unless
     all of it has none. with_keys adds root, which tells components apart, and t1
     and t2, two hashes of the text.
     """
     spark = df.sparkSession
     _store.prepare(spark)
-
-    def hashes(batch: pa.RecordBatch, at: int) -> tuple[list[np.ndarray], np.ndarray]:
-        sets = shingle_sets(batch.column(at), width)
-        return sets, np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], dtype=_U).view(np.int64)
+    least = bands(threshold)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets, keys = hashes(batch, 1)
-            cols = [*batch.columns[0:1], *batch.columns[2:], pa.array(keys), pa.array([len(s) for s in sets], pa.int64()), *(pa.array([f(s) for s in sets], pa.binary()) for f in (sketch, wide_sketch))]
-            yield pa.RecordBatch.from_arrays(cols, ["id", "t1", "t2", "key", "n", "sketch", "wide"])
-
-    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes: list[np.ndarray] = []
-            sets = shingle_sets(batch.column(0), width, sizes)
+            sets = shingle_sets(batch.column(1), width)
+            n = np.array([len(s) for s in sets], dtype=np.int64)
             keys = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], dtype=_U).view(np.int64)
-            firsts = [prefix(s, z, threshold) for s, z in zip(sets, sizes, strict=True)]
-            size = np.array([len(f) for f in firsts], dtype=np.int64)
-            h = np.concatenate([np.zeros(0, dtype=_U), *firsts]).view(np.int64)
-            place = np.arange(len(h)) - np.repeat(np.cumsum(size) - size, size)
-            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.repeat(keys, size)), pa.array(place.astype(np.int32))], ["h", "key", "place"])
+            band = (np.searchsorted(least, n, side="right") - 1).astype(np.int32)
+            cols = [*batch.columns[0:1], *batch.columns[2:], pa.array(keys), pa.array(n), pa.array(band), pa.array([p.tobytes() for p in prints(sets)], pa.binary()), *(pa.array([f(s) for s in sets], pa.binary()) for f in (sketch, wide_sketch))]
+            yield pa.RecordBatch.from_arrays(cols, ["id", "t1", "t2", "key", "n", "band", "fp", "sketch", "wide"])
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in shingle_sets(batch.column(1), width)], pa.binary())], ["key", "sigs"])
 
-    text = df.select(_store.text_of(text_col).alias("text"))
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        """The pairs whose sets, made again from one text of each key, are of the threshold."""
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        """The sets of the pairs' keys, made again from one text of each."""
         need = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
         need = _store.keep(known.join(need.hint("shuffle_hash"), "key", "left_semi").select("rep.*", "key"), "copies-need")
         texts = df.select(F.coalesce(_store.id_of(id_col), F.lit(_store.NO_ID)).alias("id"), _store.text_of(text_col).alias("text")).withColumns(_store.text_keys())
         texts = _maybe(texts, need).join(need.hint("shuffle_hash"), ["id", "t1", "t2"]).select("key", "text")
         sets = _store.keep(texts.mapInArrow(_store.resting(whole), "key long, sigs binary").dropDuplicates(["key"]), "copies-sets")
-        out = _store.keep(_verified(pairs, sets, threshold), "copies-links")
-        _store.forget(need, sets)
-        return out
+        _store.forget(need)
+        return sets
+
+    def likely(met: DataFrame) -> DataFrame:
+        return _store.keep(_likely(met.where("a is not null").select("a", "b"), known, threshold), "copies-pairs")
+
+    def rooted(links: DataFrame) -> DataFrame:
+        return _store.keep(connected_components(links).withColumnRenamed("node", "key"), "copies-roots")
+
+    def unjoined(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+        side = lambda c: roots.select(F.col("key").alias(c), F.col("root").alias(f"r{c}")).hint("shuffle_hash")
+        both = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+        return both.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
 
     docs = df.select(_store.id_of(id_col).alias("id"), _store.text_of(text_col).alias("text")).withColumns(_store.text_keys())
-    docs = docs.mapInArrow(_store.resting(read), "id long, t1 long, t2 long, key long, n long, sketch binary, wide binary")
+    docs = docs.mapInArrow(_store.resting(read), "id long, t1 long, t2 long, key long, n long, band int, fp binary, sketch binary, wide binary")
     docs = _store.keep(docs, "copies")
-    known = _store.keep(docs.groupBy("key").agg(F.min("id").alias("first"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("wide").alias("wide"), F.min(F.struct(F.coalesce("id", F.lit(_store.NO_ID)).alias("id"), "t1", "t2")).alias("rep")), "copies-nodes")
-    rows = text.mapInArrow(_store.resting(prefixes), "h long, key long, place int")
-    ends = rows.groupBy("h").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo != hi")
-    shared = _store.keep(rows.join(ends.hint("shuffle_hash"), "h").distinct(), "copies-shared")
-    pair = lambda x: shared.where(F.col("key") != F.col(x)).select(F.least("key", x).alias("a"), F.greatest("key", x).alias("b"))
-    links = linked(_store.keep(_likely(pair("lo").unionByName(pair("hi")).distinct(), known, threshold), "copies-pairs"))
-    roots = connected_components(links).withColumnRenamed("node", "key")
-    part = known.join(roots.hint("shuffle_hash"), "key", "left").select("key", F.coalesce("root", "key").alias("root"), "n", "sketch")
-    met = _meet(shared.select("h", "key", "place"), _store.keep(part, "copies-known"), threshold)
-    links = _store.keep(links.unionByName(linked(_store.keep(_likely(met, known, threshold), "copies-pairs"))), "copies-links")
-    roots = connected_components(links).withColumnRenamed("node", "key")
+    same = [F.first(c).alias(c) for c in ("n", "band", "fp", "sketch", "wide")]
+    known = _store.keep(docs.groupBy("key").agg(F.min("id").alias("first"), *same, F.min(F.struct(F.coalesce("id", F.lit(_store.NO_ID)).alias("id"), "t1", "t2")).alias("rep")), "copies-nodes")
+    tiles = _tiles(known.where("n > 0").select("key", F.col("key").alias("root"), "n", "band", "fp", "sketch"))
+
+    met = _store.keep(_met(tiles.withColumn("other", F.explode(F.sequence("low", "high"))), threshold, EACH), "copies-met", TILE_BATCH)
+    pairs = likely(met)
+    sets = sets_of(pairs)
+    first = pairs.groupBy("a").agg(F.min("b").alias("b")).unionByName(pairs.groupBy("b").agg(F.min("a").alias("a"))).distinct()
+    links = _store.keep(_verified(first, sets, threshold), "copies-links")
+    rest = _store.keep(unjoined(pairs, rooted(links)), "copies-rest")
+    links = _store.keep(links.unionByName(_verified(rest, sets, threshold)), "copies-links")
+    roots = rooted(links)
+    _store.forget(sets)
+
+    put_off = met.where("a is null").select("i", "j").distinct()
+    if put_off.take(1):
+        ends = put_off.select(F.col("i").alias("tile"), F.col("j").alias("other")).union(put_off.select("j", "i"))
+        ends = ends.groupBy("tile").agg(F.collect_set("other").alias("others"))  # a row for each tile
+        again = tiles.drop("root").join(roots.hint("shuffle_hash"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+        again = again.join(F.broadcast(ends), "tile").withColumn("other", F.explode("others"))
+        met = _store.keep(_met(again, threshold, None), "copies-met", TILE_BATCH)
+        pairs = likely(met)
+        sets = sets_of(pairs)
+        links = _store.keep(links.unionByName(_verified(pairs, sets, threshold)), "copies-links")
+        roots = rooted(links)
+        _store.forget(sets)
+
     named = known.select("key", "first").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     named = _store.keep(named, "copies-roots")
     of = named.join(named.groupBy("root").agg(F.min("first").alias("component_id")), "root").select("key", "root", "component_id")

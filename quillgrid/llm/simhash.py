@@ -21,6 +21,8 @@ BLOCK = 256
 #: Links that a task gathers before it reduces them to a forest.
 LINKS = 1 << 20
 
+#: The eight bits of a byte as eight bytes of one number.
+_LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view("<u8")[:, 0]
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -57,6 +59,23 @@ def fingerprints(column: pa.Array, width: int = WIDTH, seed: int = SEED) -> np.n
     return out
 
 
+def set_fingerprints(sigs: np.ndarray, first: np.ndarray, words: int) -> np.ndarray:
+    """SimHash of 64 * words bits of each set of 64-bit hashes: sets lie behind each other in sigs, from first on; 0 of an empty one."""
+    n = np.diff(first)
+    out = np.zeros((len(n), 8 * words), dtype=np.uint8)
+    groups = -(-n // 255)  # of one set, so that a byte of a sum counts a bit
+    rows, start = np.flatnonzero(n), np.cumsum(groups) - groups
+    if len(rows):
+        begin = np.repeat(first[:-1], groups) + 255 * (np.arange(groups.sum()) - np.repeat(start, groups))
+        for w in range(words):
+            each = _kernel.mix(sigs + np.uint64(w * 0x9E3779B97F4A7C15 & (1 << 64) - 1)).view(np.uint8).reshape(-1, 8)
+            for k in range(8):
+                counts = np.add.reduceat(_LANES[each[:, k]], begin).view(np.uint8).reshape(-1, 8)
+                sums = np.add.reduceat(counts, start[rows], axis=0, dtype=np.int64)
+                out[rows, 8 * w + k] = np.packbits(2 * sums > n[rows, None], axis=1, bitorder="little")[:, 0]
+    return out.view(np.uint64)
+
+
 def fingerprint_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, seed: int = SEED) -> DataFrame:
     """(id, fp): the 64-bit fingerprint of each row as a signed long."""
     _store.prepare(df.sparkSession)
