@@ -61,3 +61,21 @@ def test_tiles_with_too_many_candidates_are_done_later(spark, monkeypatch):
     monkeypatch.setattr(near_copies, "TILE_SETS", 7)
     got = near_copies.near_duplicates(frame(spark, rows)).collect()
     assert {x.doc_id: x.component_id for x in got} == dict(enumerate(groups(len(rows), like)))
+
+
+def test_no_table_holds_a_row_for_each_shingle(spark, monkeypatch):
+    """What is written grows with the documents, not with the shingles that they share."""
+    r = random.Random(2)
+    line = [f"shared{r.randrange(900)}" for _ in range(250)]
+    rows = [(k, " ".join([*(f"w{r.randrange(5000)}" for _ in range(60)), *line])) for k in range(40)]
+    kept, keep = {}, _store.keep
+
+    def counted(df, name, *more):
+        out = keep(df, name, *more)
+        kept[name] = max(kept.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(_store, "keep", counted)
+    near_copies.near_duplicates(frame(spark, rows)).collect()
+    pairs = len(rows) * (len(rows) - 1) // 2
+    assert kept and max(kept.values()) <= pairs, kept
