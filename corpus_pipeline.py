@@ -7,6 +7,8 @@ A row's own columns travel as one struct, so no name can clash with a stage's.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,12 +52,18 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     once. Rows without an id come after all others. Null and empty texts are one
     group. Texts of any length are compared whole. An empty table stays one.
     """
+    before = _store.written()
     groups = near_copies.near_duplicates(docs, with_keys=True).withColumnRenamed("doc_id", "id")
     groups = _store.keep(groups.withColumn("id", F.coalesce("id", F.lit(_store.NO_ID))).groupBy("root", *KEY).agg(F.count("*").alias("n")), "pipeline-groups")
+    _store.forget_since(before, groups)
     stays = groups.groupBy("root").agg(F.min(F.struct(*KEY, "n")).alias("best")).select("best.*")
-    kept = _keyed(docs).join(stays.hint("shuffle_hash"), KEY)
-    once = kept.where("n > 1").dropDuplicates(KEY)  # pre-aggregated before the shuffle: repeated rows may be very many
-    return kept.where("n = 1").unionByName(once).select(*_columns(docs))
+    # times: how often rows are there that stay once, 0 for those that go; all others stay as they are
+    touched = groups.select(*KEY).join(stays.withColumnRenamed("n", "times"), KEY, "left").withColumn("times", F.coalesce("times", F.lit(0)))
+    touched = _store.keep(touched.where("times != 1"), "pipeline-touched")
+    rows = _store.marked(_keyed(docs), touched)  # the texts of most rows aren't shuffled
+    judged = rows.where("may").join(touched.hint("shuffle_hash"), KEY, "left")
+    once = judged.where("times > 1").dropDuplicates(KEY)  # pre-aggregated before the shuffle: repeated rows may be very many
+    return reduce(DataFrame.unionAll, (x.select(*_columns(docs)) for x in (rows.where("not may"), judged.where("times is null"), once)))
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,11 +73,16 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     one id don't affect each other. Null and short texts stay as they are, as does
     an empty table; repeated rows stay repeated.
     """
+    before = _store.written()
     cut = substring_dedup.dedup_substrings(docs, with_text=True).where("n_removed > 0")
     cut = cut.select(F.coalesce("doc_id", F.lit(_store.NO_ID)).alias("id"), "t1", "t2", "kept_text").dropDuplicates(KEY)
-    out = _keyed(docs).join(cut, KEY, "left").where("kept_text is null or kept_text != ''")
+    cut = _store.keep(cut, "pipeline-cut")
+    _store.forget_since(before, cut)
+    rows = _store.marked(_keyed(docs), cut)  # the texts of most rows aren't shuffled
+    out = rows.where("may").join(cut, KEY, "left").where("kept_text is null or kept_text != ''")
     length = F.when(F.col("kept_text").isNull(), F.col("row.n_chars")).otherwise(F.length("kept_text").cast("long"))
-    return out.select(*_columns(docs, text=F.coalesce("kept_text", "row.text"), n_chars=length))
+    out = out.select(*_columns(docs, text=F.coalesce("kept_text", "row.text"), n_chars=length))
+    return rows.where("not may").select(*_columns(docs)).unionAll(out)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,6 +19,8 @@ BATCH_ROWS = 256
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Rows without a doc_id are ordered after all others.
 NO_ID = 2**63 - 1
+#: Bits of the filter of wanted texts, which is broadcast (1 MB): what it lets through is joined exactly.
+FILTER_BITS = 1 << 23
 
 _written: list[tuple[SparkSession, str]] = []
 
@@ -112,6 +114,19 @@ def forget(*frames: DataFrame) -> None:
         _drop(*item)
 
 
+def forget_since(before: int, *stay: DataFrame) -> None:
+    """Delete all tables made by keep() after the first so many, but for those that stay."""
+    names = {p.split("/part-")[0].rsplit("/", 1)[-1] for df in stay for p in df.inputFiles()}
+    for item in [x for x in _written[before:] if x[1].rsplit("/", 1)[-1] not in names]:
+        _written.remove(item)
+        _drop(*item)
+
+
+def written() -> int:
+    """How many tables made by keep() there are."""
+    return len(_written)
+
+
 def text_of(name: str = "text") -> Column:
     """The text column; null is the empty text."""
     return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))
@@ -122,6 +137,21 @@ def text_keys(name: str = "text") -> dict[str, Column]:
     return {"t1": F.xxhash64(text_of(name)), "t2": F.xxhash64(F.lit(1), text_of(name))}
 
 
+def marked(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """rows with may: whether their t1 may be among wanted's, by a bit for each in bitmaps of a fixed size.
+
+    It is true for all that are wanted, and for the more others the more are
+    wanted; only these need a shuffle of their texts.
+    """
+    number = F.pmod("t1", F.lit(FILTER_BITS)) + 1
+    bucket, place = F.bitmap_bucket_number(number), F.bitmap_bit_position(number)
+    bits = wanted.groupBy(bucket.alias("bucket")).agg(F.bitmap_construct_agg(place).alias("bits"))  # FILTER_BITS / 32768 rows of 4 KB at most
+    byte = F.conv(F.hex(F.substring("bits", F.floor(F.col("place") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = rows.withColumn("bucket", bucket).withColumn("place", place).join(F.broadcast(bits), "bucket", "left")
+    may = byte.bitwiseAND(F.pow(F.lit(2), F.col("place") % 8).cast("int")) != 0
+    return found.select(*rows.columns, F.coalesce(may, F.lit(False)).alias("may"))
+
+
 def id_of(name: str = "doc_id") -> Column:
     return F.col(f"`{name}`").cast("long")
 

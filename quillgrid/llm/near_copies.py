@@ -36,8 +36,6 @@ TILE_BATCH = 4_096
 EACH = 8
 #: Sets below this size have radii of their own.
 SHORT = 48
-#: Bits of the filter of wanted texts, which is broadcast (1 MB): what it lets through is joined exactly.
-FILTER_BITS = 1 << 23
 
 _U = np.uint64
 
@@ -285,16 +283,6 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return both.mapInArrow(_store.resting(run), "a long, b long")
 
 
-def _maybe(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows whose t1 may be among wanted's: a bit for each, in bitmaps of a fixed size."""
-    number = F.pmod("t1", F.lit(FILTER_BITS)) + 1
-    bucket, place = F.bitmap_bucket_number(number), F.bitmap_bit_position(number)
-    bits = wanted.groupBy(bucket.alias("bucket")).agg(F.bitmap_construct_agg(place).alias("bits"))  # FILTER_BITS / 32768 rows of 4 KB at most
-    byte = F.conv(F.hex(F.substring("bits", F.floor(F.col("place") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    found = rows.withColumn("bucket", bucket).withColumn("place", place).join(F.broadcast(bits), "bucket")
-    return found.where(byte.bitwiseAND(F.pow(F.lit(2), F.col("place") % 8).cast("int")) != 0).select(*rows.columns)
-
-
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, threshold: float = THRESHOLD, with_keys: bool = False) -> DataFrame:
     """(id, component_id) of each row: rows linked by a likeness of threshold or more; component_id is the smallest id reachable.
 
@@ -328,7 +316,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         need = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
         need = _store.keep(known.join(need.hint("shuffle_hash"), "key", "left_semi").select("rep.*", "key"), "copies-need")
         texts = df.select(F.coalesce(_store.id_of(id_col), F.lit(_store.NO_ID)).alias("id"), _store.text_of(text_col).alias("text")).withColumns(_store.text_keys())
-        texts = _maybe(texts, need).join(need.hint("shuffle_hash"), ["id", "t1", "t2"]).select("key", "text")
+        texts = _store.marked(texts, need).where("may").join(need.hint("shuffle_hash"), ["id", "t1", "t2"]).select("key", "text")
         sets = _store.keep(texts.mapInArrow(_store.resting(whole), "key long, sigs binary").dropDuplicates(["key"]), "copies-sets")
         _store.forget(need)
         return sets

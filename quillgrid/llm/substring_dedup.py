@@ -126,6 +126,7 @@ def dedup_substrings(df: DataFrame, width: int = WINDOW, id_col: str = "doc_id",
     """
     spark = df.sparkSession
     _store.prepare(spark)
+    before = _store.written()
     docs = _store.keep(survey(df, id_col, text_col, width), "windows-survey")
     first = _store.keep(_store.with_first(docs.select("id", "t1", "t2", "n_words", "sha")), "windows-first")
     # anchors in two texts at least; of equal texts only the first is looked at
@@ -135,7 +136,8 @@ def dedup_substrings(df: DataFrame, width: int = WINDOW, id_col: str = "doc_id",
     many = _store.keep(many, "windows-anchors")  # a join of two plain shuffles is one that Spark can split
     wanted = anchors.join(many, "anchor").groupBy("id", "t1", "t2").agg(F.collect_set("anchor").alias("wanted"))
     wanted = _store.keep(wanted.join(own, ["id", "t1", "t2"], "left_semi"), "windows-wanted")
-    texts = _keyed(df, id_col, text_col)
+    _store.forget_since(before, first, wanted)
+    texts = _store.marked(_keyed(df, id_col, text_col), wanted).where("may")  # texts of others aren't shuffled
     joined = texts.join(wanted.hint("shuffle_hash"), ["id", "t1", "t2"]).select("id", "t1", "t2", "text", "wanted")
     found = _store.keep(_window_hashes(joined, width), "windows-hashes")
     rows = found.select("id", "t1", "t2", F.explode(F.arrays_zip("at", "h1", "h2")).alias("w")).select("id", "t1", "t2", "w.at", "w.h1", "w.h2")
@@ -143,6 +145,7 @@ def dedup_substrings(df: DataFrame, width: int = WINDOW, id_col: str = "doc_id",
     least = _store.keep(least, "windows-least")
     gone = rows.join(least, ["h1", "h2"]).where("id > least").groupBy("id", "t1", "t2").agg(F.collect_set("at").alias("gone"))
     gone = _store.keep(gone, "windows-gone")
+    _store.forget_since(before, first, found, gone)
     key = ["id", "t1", "t2"]
     cut = found.select(*key, "text").join(gone.hint("shuffle_hash"), key).select("id", "text", "gone", "t1", "t2").mapInArrow(_store.resting(_cut(width)), "id long, t1 long, t2 long, n_words long, n_removed long, sha string, kept string, bounds array<long>")
     pairs = F.transform(F.sequence(F.lit(0), F.size("bounds") - 2, F.lit(2)), lambda i: F.struct(F.get("bounds", i).alias("start"), F.get("bounds", i + 1).alias("end")))

@@ -145,3 +145,34 @@ def test_planted_near_copies_are_linked(spark):
     near_copies.TILE_SETS = 2048
     kept = corpus_pipeline.near_duplicate_stage(spark, frame(spark, rows), SMALL).collect()
     assert sorted(x.doc_id for x in kept) == sorted(set(roots))
+
+
+def shuffled(spark):
+    """Bytes written to shuffles so far."""
+    context = spark.sparkContext._jsc.sc()
+    context.listenerBus().waitUntilEmpty(30_000)
+    each = context.statusStore().executorList(False)
+    return sum(each.apply(i).totalShuffleWrite() for i in range(each.size()))
+
+
+def test_texts_that_stay_are_not_shuffled(spark):
+    """Both stages that drop or cut some texts leave the others where they are, and keep few tables."""
+    import random
+
+    from quillgrid.llm import _store
+
+    from .conftest import frame
+
+    r = random.Random(8)
+    say = lambda n: [f"{r.getrandbits(240):060x}" for _ in range(n)]
+    texts = [say(200) for _ in range(200)]
+    passage = say(60)
+    texts += [[*t[:-1], "end"] for t in texts[:5]] + [say(100) + passage for _ in range(3)]
+    docs = frame(spark, [(k, " ".join(t)) for k, t in enumerate(texts)]).checkpoint()
+    size = sum(len(r.text) for r in docs.collect())
+    for k, stay, cut in ((1, set(range(208)) - set(range(200, 205)), set()), (2, set(range(208)), {*range(200, 205), 206, 207})):
+        before, tables = shuffled(spark), len(_store._written)
+        got = {x.doc_id: x.text for x in corpus_pipeline.STAGES[k][1](spark, docs, SMALL).collect()}
+        assert shuffled(spark) - before < size / 2, corpus_pipeline.STAGES[k][0]
+        assert len(_store._written) - tables <= 2, corpus_pipeline.STAGES[k][0]
+        assert got.keys() == stay and {i for i in got if got[i] != " ".join(texts[i])} == cut
